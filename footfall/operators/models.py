@@ -68,14 +68,21 @@ def best_round(values: list[float], patience: int = 10) -> int:
 
 
 def fit_with_patience(
-    train: DataFrame, val: DataFrame, config: Boosting = MAIN, patience: int = 10
+    train: DataFrame, val: DataFrame, config: Boosting = MAIN, patience: int = 10, first: int = 32
 ) -> GBTClassificationModel:
-    """Fit, find the best round on validation, and refit that many rounds: the same first trees."""
-    full = fit_boosting(train, config)
-    rounds = best_round(losses(full, val), patience)
-    if rounds == config.rounds:
-        return full
-    return fit_boosting(train, replace(config, rounds=rounds))
+    """The model of the best round on validation, found with a patience rule.
+
+    With one seed a shorter fit has the same first trees as a longer one. So a short fit is tried first,
+    and doubled only while the patience has not run out; then the best number of rounds is fitted.
+    """
+    rounds = min(first, config.rounds)
+    while True:
+        model = fit_boosting(train, replace(config, rounds=rounds))
+        best = best_round(losses(model, val), patience)
+        if rounds - best >= patience or rounds == config.rounds:
+            break
+        rounds = min(rounds * 2, config.rounds)
+    return model if best == rounds else fit_boosting(train, replace(config, rounds=best))
 
 
 def learning_curve(model: GBTClassificationModel, sets: dict[str, DataFrame]) -> DataFrame:

@@ -168,7 +168,7 @@ def permutation_importance(
     p = F.least(F.greatest(F.col("score"), F.lit(metrics.CLIP)), F.lit(1 - metrics.CLIP))
     loss = F.when(F.col("label") == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))
     losses = scored.groupBy("f", "repeat").agg(F.avg(loss).alias("loss"))
-    base = metrics.log_loss(models.score(model, models.vectors(df, features))).scalar()
+    base = metrics.log_loss(models.score(model, models.vectors(df, features))).first()[0]
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("f") + 1)
     return losses.groupBy(names.alias("feature")).agg(
         F.avg(F.col("loss") - base).alias("importance_mean"),

@@ -76,7 +76,7 @@ def experiment_name(method: str, ratio: float) -> str:
     return method if method == "baseline" else f"{method}_{ratio:.1f}"
 
 
-def run_grid(m: Matrices, config: Boosting = MAIN, parallelism: int = 4) -> DataFrame:
+def run_grid(m: Matrices, config: Boosting = MAIN, parallelism: int = 6) -> DataFrame:
     """(experiment, Metric, Value) for the baseline and every method and ratio.
 
     Experiments are independent, so a few are submitted at once, as cross-validation does.
