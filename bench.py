@@ -12,7 +12,7 @@ import os
 import time
 
 from footfall.catalog import QUERIES
-from footfall.catalog.registry import forget, prepared
+from footfall.catalog.registry import forget, matrices, prepared
 from footfall.session import build_session
 
 HEADLINE = [
@@ -25,7 +25,7 @@ FROM_TABLE = [
     "d1_stratified_split", "f2_variance_filter", "f4_drop_redundant", "r2_oversample_1_0", "r3_undersample_1_0",
     "r1_smote_1_0", "m8_roc_auc", "m9_roc_curve",
 ]
-# These fit models on the selected matrices, which the first of them has to choose.
+# These start from the matrices of the chosen features; choosing them is timed as choose_features.
 FITS = ["m2_early_stopping", "m4_logistic_regression", "f9_permutation_importance"]
 
 
@@ -53,7 +53,12 @@ def main() -> None:
         times[name] = run(name)
     forget()
     prepared(spark, sf_dir)
-    for name in FROM_TABLE + FITS:
+    for name in FROM_TABLE:
+        times[name] = run(name)
+    start = time.perf_counter()
+    matrices(spark, sf_dir)
+    times["choose_features"] = round(time.perf_counter() - start, 3)
+    for name in FITS:
         times[name] = run(name)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -103,7 +103,7 @@ def _s9(spark, sf):
 @query("s10_history_not_empty", sql.with_(sql.history(), "SELECT max(t) AS latest FROM h"))
 def _s10(spark, sf):
     rows = history.require_nonempty(history.before(log(spark, sf, AS_OF), AS_OF))
-    return spark.range(1).select(history.last_moment(rows, required=True).alias("latest"))
+    return spark.range(1).select(history.last_moment(rows).alias("latest"))
 
 
 # --- Joins and set operations -----------------------------------------------------------------------

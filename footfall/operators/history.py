@@ -27,12 +27,16 @@ def before(log: DataFrame, as_of: datetime | None) -> DataFrame:
     return log if as_of is None else log.where(F.col("time") < timeparts.naive(as_of))
 
 
-def last_moment(rows: DataFrame, required: bool = False) -> Column:
+def last_moment(rows: DataFrame) -> Column:
     """The latest time of ``rows`` as an uncorrelated scalar subquery: one value, no join."""
-    latest = F.max(timeparts.epoch_seconds("time"))
-    if required:
-        latest = F.coalesce(latest, F.raise_error(F.lit("no rows before the cutoff")).cast("bigint"))
-    return rows.agg(latest.alias("latest")).scalar()
+    return rows.agg(F.max(timeparts.epoch_seconds("time")).alias("latest")).scalar()
+
+
+def require_nonempty(df: DataFrame) -> DataFrame:
+    """Fail on an empty input: a job that stops at the first row."""
+    if df.isEmpty():
+        raise ValueError("no rows before the cutoff")
+    return df
 
 
 def open_history(
@@ -41,18 +45,14 @@ def open_history(
     now: datetime | None = None,
     required: bool = False,
 ) -> History:
-    """Rows before ``as_of``. ``now`` replaces the scan for the latest time when it is known."""
+    """Rows before ``as_of``. ``now`` replaces the scan for the latest time when it is known; with
+    ``required`` an empty history fails at once."""
     rows = before(log, as_of)
+    if required:
+        require_nonempty(rows)
     if now is None:
-        moment = last_moment(rows, required)
+        moment = last_moment(rows)
     else:
         moment = timeparts.epoch_seconds(timeparts.naive(now))
     timed = rows.withColumns({"hour": F.hour("time"), "t": timeparts.epoch_seconds("time")})
     return History(timed, moment)
-
-
-def require_nonempty(df: DataFrame) -> DataFrame:
-    """Fail at once on an empty input."""
-    if df.isEmpty():
-        raise ValueError("no rows before the cutoff")
-    return df

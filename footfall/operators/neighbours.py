@@ -95,7 +95,8 @@ def _visiting(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
                 out["vid"].extend(ids[row[near]])
                 out["d"].extend(found[near])
                 out["other"].extend(ref_ids[col[near]])
-        return pd.DataFrame(out)
+        # Object columns: an empty column of pandas' own string type has no Arrow array to send on.
+        return pd.DataFrame({name: pd.Series(column, dtype=object) for name, column in out.items()})
 
     return find
 

@@ -13,7 +13,7 @@ from footfall.operators import metrics, models, rebalance, selection
 from footfall.operators.models import MAIN, SECOND, Boosting
 from footfall.plans.pipeline import Splits, first_two_steps
 from footfall.schema import RATIOS, SEED
-from footfall.session import materialise
+from footfall.session import materialise, materialise_all
 
 
 @dataclass(frozen=True)
@@ -25,18 +25,23 @@ class Matrices:
     val: DataFrame
 
 
+def _vector_tables(parts: Splits, features: list[str]) -> list[DataFrame]:
+    return materialise_all({
+        "train": models.vectors(parts.train, features), "val": models.vectors(parts.val, features),
+    })
+
+
 def choose_features(parts: Splits, config: Boosting = MAIN, kind: str = "gain") -> list[str]:
     """Filters, then the features carrying 95% of a first model's importance."""
     kept = first_two_steps(parts.train)
-    train, val = (materialise(models.vectors(p, kept), "step2") for p in (parts.train, parts.val))
+    train, val = _vector_tables(parts, kept)
     model = models.fit_with_patience(train, val, config)
     ranked = selection.select_by_share(selection.importance(model, kept, kind))
     return [r.feature for r in ranked.orderBy("place").collect()]
 
 
 def matrices(parts: Splits, features: list[str]) -> Matrices:
-    train, val = (materialise(models.vectors(p, features), "final") for p in (parts.train, parts.val))
-    return Matrices(features, train, val)
+    return Matrices(features, *_vector_tables(parts, features))
 
 
 def resampled(m: Matrices, method: str, ratio: float, seed: object = SEED) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from footfall.operators import assemble, features, history, rollup, selection, split
 from footfall.schema import CATEGORY_TABLE, ITEM_TABLE, SEED, USER_TABLE
-from footfall.session import materialise
+from footfall.session import materialise, materialise_all
 from footfall.sources import tables
 
 
@@ -21,23 +21,32 @@ class FeatureTables:
     categories: DataFrame
 
 
+def _written_with(
+    log: DataFrame, as_of: datetime, now: datetime | None, others: dict[str, DataFrame]
+) -> tuple[FeatureTables, list[DataFrame]]:
+    """The feature tables, and other tables written along with the first of their stages."""
+    h = history.open_history(log, as_of, now, required=True)
+    pair_table, category_table, *rest = materialise_all({
+        "pairs": rollup.pairs(h.rows), "user_categories": rollup.user_categories(h.rows), **others,
+    })
+    users = features.user_features(h, None, pair_table, category_table)
+    items = features.item_features(h, None, pair_table)
+    categories = features.category_features(h, None, category_table)
+    written = materialise_all({
+        "user_feature": tables.check_schema(users, USER_TABLE),
+        "item_feature": tables.check_schema(items, ITEM_TABLE),
+        "category_feature": tables.check_schema(categories, CATEGORY_TABLE),
+    })
+    return FeatureTables(*written), rest
+
+
 def feature_tables(log: DataFrame, as_of: datetime, now: datetime | None = None) -> FeatureTables:
     """The three feature tables, each written once.
 
     The pair table serves users and items, and the (user, category) table users and categories, so both
     are written first and the log is not grouped that way again.
     """
-    h = history.open_history(log, as_of, now, required=True)
-    pair_table = materialise(rollup.pairs(h.rows), "pairs")
-    category_table = materialise(rollup.user_categories(h.rows), "user_categories")
-    users = features.user_features(h, None, pair_table, category_table)
-    items = features.item_features(h, None, pair_table)
-    categories = features.category_features(h, None, category_table)
-    return FeatureTables(
-        materialise(tables.check_schema(users, USER_TABLE), "user_feature"),
-        materialise(tables.check_schema(items, ITEM_TABLE), "item_feature"),
-        materialise(tables.check_schema(categories, CATEGORY_TABLE), "category_feature"),
-    )
+    return _written_with(log, as_of, now, {})[0]
 
 
 def sampled_base(log: DataFrame, as_of: datetime, days: int, ratio: int = 10, seed: object = SEED) -> DataFrame:
@@ -48,12 +57,12 @@ def sampled_base(log: DataFrame, as_of: datetime, days: int, ratio: int = 10, se
 
 
 def training_table(
-    log: DataFrame, as_of: datetime, days: int = 1, ratio: int = 10, seed: object = SEED,
-    tables_: FeatureTables | None = None,
+    log: DataFrame, as_of: datetime, days: int = 1, ratio: int = 10, seed: object = SEED
 ) -> DataFrame:
     """Sampled pairs with all features, written."""
-    base = sampled_base(log, as_of, days, ratio, seed)
-    t = tables_ or feature_tables(log, as_of)
+    pairs = assemble.labelled(log, as_of, days)
+    t, (labelled,) = _written_with(log, as_of, None, {"labelled": pairs})
+    base = assemble.sample_negatives(labelled, ratio, seed)
     return materialise(assemble.feature_table(base, t.users, t.items, t.categories), "feature_table")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column operation makes wide plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -55,3 +58,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_all(frames: dict[str, DataFrame]) -> list[DataFrame]:
+    """Write independent tables at the same time, so that the tail of one job is filled by the next."""
+    shared_folder(next(iter(frames.values())).sparkSession)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(lambda item: materialise(item[1], item[0]), frames.items()))
