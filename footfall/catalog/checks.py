@@ -92,7 +92,7 @@ def _q4(spark, sf):
     """One key recomputed: the filter on the key reaches the scan below every grouping."""
     h = open_log(spark, sf)
     key = h.rows.agg(F.min("user_id").alias("k")).scalar()
-    one = history.History(h.rows.where(F.col("user_id") == key), h.now)
+    one = history.History(h.rows.where(F.col("user_id") == key))
     return features.user_features(one, ["total_views", "total_buy", "view_not_buy_rate"])
 
 

@@ -31,7 +31,7 @@ def _never_bought(kind: str) -> Column:
     return ratio(F.col(f"d_{kind}_not"), present(f"d_{kind}"))
 
 
-def _user_columns(now: Column) -> dict[str, Column]:
+def _user_columns() -> dict[str, Column]:
     c = F.col
     return {
         "total_behavior": c("n_all"),
@@ -46,9 +46,9 @@ def _user_columns(now: Column) -> dict[str, Column]:
         "fav_rate": share("n_fav", "n_view"),
         "total_buy": present("n_buy"),
         "buy_rate": share("n_buy", "n_view"),
-        "first_active_time": whole_days(now - c("first_t")),
-        "last_active_time": whole_days(now - c("last_t")),
-        "buy_recency": hours(now - c("last_buy_t")),
+        "first_active_time": whole_days(c("first_age")),
+        "last_active_time": whole_days(c("last_age")),
+        "buy_recency": hours(c("buy_age")),
         "tendency_index": ratio(present("n_buy") + present("n_cart"), present("n_view")),
         "view_not_buy_rate": _never_bought("view"),
         "cart_not_buy_rate": _never_bought("cart"),
@@ -63,7 +63,7 @@ def _user_columns(now: Column) -> dict[str, Column]:
     }
 
 
-def _item_columns(now: Column) -> dict[str, Column]:
+def _item_columns() -> dict[str, Column]:
     c = F.col
     return {
         "total_pv": present("n_view"),
@@ -83,7 +83,7 @@ def _item_columns(now: Column) -> dict[str, Column]:
         "fav_not_buy_rate": _never_bought("fav"),
         "interest_depth": ratio(c("rows_all"), c("partners")),
         "repurchase_index": ratio(c("repeaters"), present("buyers")),
-        "buy_recency_hours": hours(now - c("last_buy_t")),
+        "buy_recency_hours": hours(c("buy_age")),
         "peak_view_hour": c("peak_view_hour"),
         "peak_buy_hour": c("peak_buy_hour"),
     }
@@ -116,7 +116,7 @@ def user_features(
                 F.max("n_all").alias("top_category"), F.sum("n_all").alias("rows_by_category")
             )
         )
-    columns = _user_columns(h.now)
+    columns = _user_columns()
     return _on_key(blocks, "user_id").select("user_id", *[columns[n].alias(n) for n in names])
 
 
@@ -135,7 +135,7 @@ def item_features(
     if want & _FROM_PAIRS:
         table = rollup.pairs(h.rows) if pair_table is None else pair_table
         blocks.append(rollup.not_bought(table, "item_id"))
-    columns = _item_columns(h.now)
+    columns = _item_columns()
     return _on_key(blocks, "item_id").select("item_id", *[columns[n].alias(n) for n in names])
 
 

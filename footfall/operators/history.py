@@ -13,14 +13,14 @@ from footfall.functions import timeparts
 
 @dataclass(frozen=True)
 class History:
-    """Log rows with ``hour`` and epoch seconds ``t``, and the reference moment ``now`` in seconds."""
+    """Log rows with their ``hour``, and their ``age`` in seconds before the reference moment."""
 
     rows: DataFrame
-    now: Column
 
-    def within(self, days: int) -> Column:
+    @staticmethod
+    def within(days: int) -> Column:
         """Whether a row lies in the last ``days`` days, the edge included."""
-        return F.col("t") >= self.now - days * timeparts.DAY
+        return F.col("age") <= days * timeparts.DAY
 
 
 def before(log: DataFrame, as_of: datetime | None) -> DataFrame:
@@ -29,7 +29,7 @@ def before(log: DataFrame, as_of: datetime | None) -> DataFrame:
 
 def last_moment(rows: DataFrame) -> Column:
     """The latest time of ``rows`` as an uncorrelated scalar subquery: one value, no join."""
-    return rows.agg(F.max(timeparts.epoch_seconds("time")).alias("latest")).scalar()
+    return rows.agg(timeparts.epoch_seconds(F.max("time")).alias("latest")).scalar()
 
 
 def require_nonempty(df: DataFrame) -> DataFrame:
@@ -54,5 +54,5 @@ def open_history(
         moment = last_moment(rows)
     else:
         moment = timeparts.epoch_seconds(timeparts.naive(now))
-    timed = rows.withColumns({"hour": F.hour("time"), "t": timeparts.epoch_seconds("time")})
-    return History(timed, moment)
+    age = moment - timeparts.epoch_seconds("time")
+    return History(rows.withColumns({"hour": F.hour("time"), "age": age}))

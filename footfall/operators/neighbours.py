@@ -31,10 +31,12 @@ def distinct_points(df: DataFrame, point: str = "x") -> DataFrame:
 
 
 def _closest(
-    ids: np.ndarray, points: np.ndarray, ref_ids: np.ndarray, refs: np.ndarray, k: int
+    ids: np.ndarray, points: np.ndarray, ref_ids: np.ndarray, refs: np.ndarray, k: int,
+    bound: np.ndarray | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For chunks of points: positions of points and of references, and squared distances, of the k
-    closest other references by (distance, id). Squares are summed coordinate by coordinate."""
+    closest other references by (distance, id), within the bound if one is known. Squares are summed
+    coordinate by coordinate."""
     order = np.argsort(ref_ids, kind="stable")
     ref_ids, refs = ref_ids[order], refs[order]
     for start in range(0, len(ids), _CHUNK):
@@ -44,8 +46,12 @@ def _closest(
             gap = points[part, axis][:, None] - refs[:, axis][None, :]
             squares += gap * gap
         squares[ids[part][:, None] == ref_ids[None, :]] = np.inf
-        kth = np.partition(squares, min(k, squares.shape[1]) - 1, axis=1)[:, min(k, squares.shape[1]) - 1]
-        row, col = np.nonzero((squares <= kth[:, None]) & np.isfinite(squares))
+        if bound is not None and np.isfinite(bound[part]).all():
+            limit = bound[part]
+        else:
+            last = min(k, squares.shape[1]) - 1
+            limit = np.partition(squares, last, axis=1)[:, last]
+        row, col = np.nonzero((squares <= limit[:, None]) & np.isfinite(squares))
         found = squares[row, col]
         by = np.lexsort((col, found, row))
         row, col, found = row[by], col[by], found[by]
@@ -90,11 +96,10 @@ def _visiting(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
             ids, bound = guests["vid"].to_numpy(), guests["bound"].to_numpy()
             ref_ids = hosts["host_vid"].to_numpy()
             refs = _matrix(hosts["host_x"])
-            for row, col, found in _closest(ids, _matrix(guests["x"]), ref_ids, refs, k):
-                near = found <= bound[row]
-                out["vid"].extend(ids[row[near]])
-                out["d"].extend(found[near])
-                out["other"].extend(ref_ids[col[near]])
+            for row, col, found in _closest(ids, _matrix(guests["x"]), ref_ids, refs, k, bound):
+                out["vid"].extend(ids[row])
+                out["d"].extend(found)
+                out["other"].extend(ref_ids[col])
         # Object columns: an empty column of pandas' own string type has no Arrow array to send on.
         return pd.DataFrame({name: pd.Series(column, dtype=object) for name, column in out.items()})
 

@@ -32,9 +32,9 @@ def _counts() -> list[Column]:
 def _measures(h: History) -> list[Column]:
     views = [F.count_if(of_type(VIEW) & h.within(d)).alias(n) for n, d in WINDOWS.items()]
     times = [
-        F.min("t").alias("first_t"),
-        F.max("t").alias("last_t"),
-        F.max(F.when(of_type(BUY), F.col("t"))).alias("last_buy_t"),
+        F.max("age").alias("first_age"),
+        F.min("age").alias("last_age"),
+        F.min(F.when(of_type(BUY), F.col("age"))).alias("buy_age"),
     ]
     return _counts() + views + times
 
@@ -57,9 +57,9 @@ def by_key(h: History, key: str, hourly: bool = True) -> DataFrame:
     bands = {"n_morning": MORNING, "n_afternoon": AFTERNOON, "n_night": NIGHT}
     return fine.groupBy(key).agg(
         *summed,
-        F.min("first_t").alias("first_t"),
-        F.max("last_t").alias("last_t"),
-        F.max("last_buy_t").alias("last_buy_t"),
+        F.max("first_age").alias("first_age"),
+        F.min("last_age").alias("last_age"),
+        F.min("buy_age").alias("buy_age"),
         *[F.sum(F.when(in_band(F.col("hour"), b), F.col("n_all"))).alias(n) for n, b in bands.items()],
         peak("n_all").alias("peak_hour"),
         peak("n_view").alias("peak_view_hour"),

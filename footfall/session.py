@@ -33,15 +33,15 @@ def build_session(app: str = "footfall", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Where intermediate tables go: the cluster's checkpoint folder.
 
-    Only where the session names none (local tests) is a temporary folder made, and then set on the
-    session so that every later call uses the same one.
+    Only where the session names none (local tests) is a temporary folder made, once per application.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="footfall-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="footfall-"))
+        folder = context.getCheckpointDir()
+    elif context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 

@@ -23,7 +23,7 @@ def con():
 
 def test_registry():
     assert set(ORACLE) <= set(QUERIES)
-    assert not [n for n in QUERIES if n not in ORACLE and not n.startswith(("m", "f7", "f9", "s9"))]
+    assert not [n for n in QUERIES if n not in ORACLE and not n.startswith(("m", "f7", "f9"))]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -31,12 +31,6 @@ def test_query_matches_sql(spark, con, name):
     assert oracle.difference(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
-def test_saved_model_scores_alike(spark):
-    row = QUERIES["s9_save_and_load_model"](spark, SF_DIR).first()
-    assert row["rows"] > 0
-    assert row.gap == 0.0
-
-
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns[0] == "user_id"
@@ -60,3 +54,44 @@ def test_cutoff_reaches_the_scan(spark):
     plan = _plan(QUERIES["u1_total_behavior"](spark, SF_DIR))
     assert "LessThan(ts" in plan
     assert "props" not in plan.split("ReadSchema")[1]
+
+
+def test_hot_user_is_split_in_the_lookup(spark):
+    """A user with a third of the base: adaptive execution splits that partition of the join."""
+    from pyspark.sql import functions as F
+
+    from footfall.operators import joins
+
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id"))
+        base = spark.range(0, 200_000, 1, 16).select(hot.alias("user_id"), F.md5(F.col("id").cast("string")).alias("x"))
+        users = spark.range(200_000).select(F.col("id").alias("user_id"), F.lit(1).alias("n"))
+        joined = joins.lookup(base, users, "user_id")
+        assert len(joined.collect()) == 200_000
+        assert "skew=true" in _plan(joined)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_shared_folder(spark):
+    """The folder the cluster names is used as it is; without one, the application keeps to one folder."""
+    from types import SimpleNamespace
+
+    from footfall.session import shared_folder
+
+    assert shared_folder(spark) == shared_folder(spark)
+    chosen = []
+    context = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=chosen.append)
+    conf = {"spark.checkpoint.dir": "hdfs://cluster/shared"}
+    assert shared_folder(SimpleNamespace(conf=conf, sparkContext=context)) == "hdfs://cluster/shared"
+    assert chosen == ["hdfs://cluster/shared"]
