@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,14 +40,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def log(spark: SparkSession, sf_dir: str, until: datetime | None = None) -> DataFrame:
-    return log_from_events(table(spark, sf_dir, "events"), until)
+def log(
+    spark: SparkSession, sf_dir: str, until: datetime | None = None, since: datetime | None = None
+) -> DataFrame:
+    return log_from_events(table(spark, sf_dir, "events"), until, since)
+
+
+def label_log(spark: SparkSession, sf_dir: str, as_of: datetime, days: int) -> DataFrame:
+    """The log of the label days alone."""
+    return log(spark, sf_dir, as_of + timedelta(days=days), as_of)
 
 
 def open_log(spark: SparkSession, sf_dir: str, as_of: datetime | None = AS_OF) -> History:
     return history.open_history(log(spark, sf_dir, as_of), as_of)
 
 
+def build_training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    past, ahead = log(spark, sf_dir, TRAIN_AS_OF), label_log(spark, sf_dir, TRAIN_AS_OF, TRAIN_DAYS)
+    return pipeline.training_table(past, TRAIN_AS_OF, TRAIN_DAYS, label_log=ahead)
+
+
 @dataclass(frozen=True)
 class Prepared:
     """The written training table and what the later steps derive from it."""
@@ -59,7 +71,7 @@ class Prepared:
 @cache
 def _prepared(app: str, sf_dir: str) -> Prepared:
     spark = SparkSession.getActiveSession()
-    full = pipeline.training_table(log(spark, sf_dir), TRAIN_AS_OF, TRAIN_DAYS)
+    full = build_training_table(spark, sf_dir)
     return Prepared(full, pipeline.splits(full))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from footfall.catalog import sql
 from footfall.catalog.registry import (
-    AS_OF, TRAIN_AS_OF, TRAIN_DAYS, add, baseline, log, matrices, open_log, prepared, query, table,
+    AS_OF, LABEL_DAYS, TRAIN_AS_OF, TRAIN_DAYS, add, baseline, build_training_table, label_log, log, matrices,
+    open_log, prepared, query, table,
 )
 from footfall.operators import assemble, features, models, rebalance, selection, split
 from footfall.plans import pipeline
@@ -22,22 +23,28 @@ _ROWS = "user_id, item_id, item_category"
 
 @query("b1_candidates", sql.with_(_LABELLED, f"SELECT {_ROWS} FROM cand"))
 def _b1(spark, sf):
-    return assemble.candidates(log(spark, sf), AS_OF)
+    return assemble.candidates(log(spark, sf, AS_OF), AS_OF)
 
 
 @query("b2_labels", sql.with_(_LABELLED, "SELECT user_id, item_id FROM lbl"))
 def _b2(spark, sf):
-    return assemble.labels(log(spark, sf), AS_OF)
+    return assemble.labels(label_log(spark, sf, AS_OF, LABEL_DAYS), AS_OF, LABEL_DAYS)
 
 
 @query("b3_attach_label", sql.with_(_LABELLED, f"SELECT {_ROWS}, label FROM lab"))
 def _b3(spark, sf):
-    return assemble.labelled(log(spark, sf), AS_OF)
+    ahead = label_log(spark, sf, AS_OF, LABEL_DAYS)
+    return assemble.labelled(log(spark, sf, AS_OF), AS_OF, LABEL_DAYS, ahead)
+
+
+def _base(spark, sf):
+    past, ahead = log(spark, sf, TRAIN_AS_OF), label_log(spark, sf, TRAIN_AS_OF, TRAIN_DAYS)
+    return pipeline.sampled_base(past, TRAIN_AS_OF, TRAIN_DAYS, label_log=ahead)
 
 
 @query("b4_sample_negatives", sql.with_(sql.base_only(), f"SELECT {_ROWS}, label FROM base"))
 def _b4(spark, sf):
-    return pipeline.sampled_base(log(spark, sf), TRAIN_AS_OF, TRAIN_DAYS)
+    return _base(spark, sf)
 
 
 @query("b4_sampling_report", sql.with_(sql.base_only(), """
@@ -49,12 +56,12 @@ def _b4_report(spark, sf):
 
 @query("b5_shuffle", sql.with_(sql.base_only(), f"SELECT {_ROWS}, label FROM base"))
 def _b5(spark, sf):
-    return assemble.shuffle(pipeline.sampled_base(log(spark, sf), TRAIN_AS_OF, TRAIN_DAYS))
+    return assemble.shuffle(_base(spark, sf))
 
 
 @query("b6_feature_table", sql.with_(sql.full_table(), "SELECT * FROM ft"))
 def _b6(spark, sf):
-    return pipeline.training_table(log(spark, sf), TRAIN_AS_OF, TRAIN_DAYS)
+    return build_training_table(spark, sf)
 
 
 # --- Splits -----------------------------------------------------------------------------------------

@@ -37,8 +37,11 @@ def attach_label(pairs: DataFrame, bought: DataFrame) -> DataFrame:
     )
 
 
-def labelled(log: DataFrame, as_of: datetime, days: int = 1) -> DataFrame:
-    return attach_label(candidates(log, as_of), labels(log, as_of, days))
+def labelled(
+    log: DataFrame, as_of: datetime, days: int = 1, label_log: DataFrame | None = None
+) -> DataFrame:
+    """Labelled candidates. ``label_log`` may be a read of the label days alone."""
+    return attach_label(candidates(log, as_of), labels(log if label_log is None else label_log, as_of, days))
 
 
 def sample_negatives(df: DataFrame, ratio: int = 10, seed: object = SEED) -> DataFrame:

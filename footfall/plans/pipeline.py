@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators import assemble, features, history, rollup, selection, split
 from footfall.schema import CATEGORY_TABLE, ITEM_TABLE, SEED, USER_TABLE
 from footfall.session import materialise, materialise_all
 from footfall.sources import tables
+from footfall.sources.log import read_log
 
 
 @dataclass(frozen=True)
@@ -49,23 +50,37 @@ def feature_tables(log: DataFrame, as_of: datetime, now: datetime | None = None)
     return _written_with(log, as_of, now, {})[0]
 
 
-def sampled_base(log: DataFrame, as_of: datetime, days: int, ratio: int = 10, seed: object = SEED) -> DataFrame:
+def sampled_base(
+    log: DataFrame, as_of: datetime, days: int, ratio: int = 10, seed: object = SEED,
+    label_log: DataFrame | None = None,
+) -> DataFrame:
     """Labelled candidates with ``ratio`` negatives per positive. The labelled pairs are written first,
     because the sample reads them for its counts and again for its rows."""
-    labelled = materialise(assemble.labelled(log, as_of, days), "labelled")
+    labelled = materialise(assemble.labelled(log, as_of, days, label_log), "labelled")
     return assemble.sample_negatives(labelled, ratio, seed)
 
 
 def training_table(
-    log: DataFrame, as_of: datetime, days: int = 1, ratio: int = 10, seed: object = SEED
+    log: DataFrame, as_of: datetime, days: int = 1, ratio: int = 10, seed: object = SEED,
+    label_log: DataFrame | None = None,
 ) -> DataFrame:
     """Sampled pairs with all features, written."""
-    pairs = assemble.labelled(log, as_of, days)
+    pairs = assemble.labelled(log, as_of, days, label_log)
     t, (labelled,) = _written_with(log, as_of, None, {"labelled": pairs})
     base = assemble.sample_negatives(labelled, ratio, seed)
     return materialise(assemble.feature_table(base, t.users, t.items, t.categories), "feature_table")
 
 
+def training_table_from(
+    spark: SparkSession, path: str, as_of: datetime, days: int = 1, ratio: int = 10, seed: object = SEED
+) -> DataFrame:
+    """The training table of a log table. History and label days are separate reads, so that each opens
+    only its own day partitions."""
+    past = read_log(spark, path, until=as_of)
+    ahead = read_log(spark, path, since=as_of, until=as_of + timedelta(days=days))
+    return training_table(past, as_of, days, ratio, seed, ahead)
+
+
 @dataclass(frozen=True)
 class Splits:
     train: DataFrame
@@ -74,8 +89,8 @@ class Splits:
 
 
 def splits(table: DataFrame, seed: object = SEED) -> Splits:
-    """The stratified split, written by part so that each is read alone."""
-    cut = materialise(split.stratified_split(table, seed=seed), "splits")
+    """The stratified split, written in a partition per part, so that each part is read alone."""
+    cut = materialise(split.stratified_split(table, seed=seed), "splits", by="split")
     parts = [cut.where(F.col("split") == p).drop("split") for p in split.PARTS]
     return Splits(*parts)
 

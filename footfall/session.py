@@ -49,14 +49,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder, partitioned ``by`` a column if given, and read it back.
 
     Cuts the lineage, survives the loss of executors, keeps columns prunable, and gives Catalyst true
     sizes, so that it broadcasts the result only when it is small.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -63,17 +63,24 @@ def write_log_csv(log: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def log_from_events(events: DataFrame, until: datetime | None = None) -> DataFrame:
+def _hour_not_before(moment: datetime) -> datetime:
+    floor = moment.replace(minute=0, second=0, microsecond=0)
+    return floor if floor == moment else floor + timedelta(hours=1)
+
+
+def log_from_events(
+    events: DataFrame, until: datetime | None = None, since: datetime | None = None
+) -> DataFrame:
     """The log held in an ``events`` table.
 
-    Times are cut to the hour. ``until`` is an exclusive bound on those hours; it is applied to the raw
-    time, rounded up to the hour, which selects the same rows and reaches the scan.
+    Times are cut to the hour. The bounds (``until`` exclusive) are on those hours; they are applied to
+    the raw time, rounded up to the hour, which selects the same rows and reaches the scan.
     """
     rows = events.where(F.col("event_type").isin(*EVENT_CODES))
+    if since is not None:
+        rows = rows.where(F.col("ts") >= timeparts.naive(_hour_not_before(since)))
     if until is not None:
-        floor = until.replace(minute=0, second=0, microsecond=0)
-        ceiling = floor if floor == until else floor + timedelta(hours=1)
-        rows = rows.where(F.col("ts") < timeparts.naive(ceiling))
+        rows = rows.where(F.col("ts") < timeparts.naive(_hour_not_before(until)))
     k = F.get_json_object("props", "$.k").cast("bigint")
     code = F.coalesce(*[F.when(F.col("event_type") == n, F.lit(c)) for n, c in EVENT_CODES.items()])
     return rows.select(

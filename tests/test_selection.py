@@ -188,3 +188,19 @@ def test_reconcile_reports_each_difference(spark):
     a = spark.createDataFrame([(1, 0.5), (2, None), (3, None)], "k long, r double")
     b = spark.createDataFrame([(1, 0.5 + 1e-9), (2, None), (3, 0.1)], "k long, r double")
     assert reconcile.ratios_agree(a, b, "k", "r").first().differing == 1
+
+
+def test_training_table_of_a_log_table(spark):
+    """Read by partitions of history and label days, the same table as from the whole log."""
+    from footfall.catalog.registry import TRAIN_AS_OF, TRAIN_DAYS, log
+    from footfall.plans import pipeline
+
+    whole = log(spark, "/root/testdata/sf0.001")
+    path = scratch_path(spark, "log")
+    write_log(whole, path)
+    a = pipeline.training_table_from(spark, path, TRAIN_AS_OF, TRAIN_DAYS)
+    b = pipeline.training_table(whole, TRAIN_AS_OF, TRAIN_DAYS)
+    assert a.columns == b.columns
+    assert len(a.columns) == 58
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert len(selection.inputs(a)) == 44
