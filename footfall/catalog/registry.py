@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,40 +67,47 @@ class Prepared:
     splits: pipeline.Splits
 
 
-@cache
-def _prepared(app: str, sf_dir: str) -> Prepared:
-    spark = SparkSession.getActiveSession()
-    full = build_training_table(spark, sf_dir)
-    return Prepared(full, pipeline.splits(full))
+_KEPT: dict[tuple[str, str, str], object] = {}
 
 
-@cache
-def _matrices(app: str, sf_dir: str) -> experiments.Matrices:
-    parts = prepared(SparkSession.getActiveSession(), sf_dir).splits
-    return experiments.matrices(parts, experiments.choose_features(parts))
-
-
-@cache
-def _baseline(app: str, sf_dir: str):
-    m = matrices(SparkSession.getActiveSession(), sf_dir)
-    return experiments.evaluate(m, m.train)
+def _kept(kind: str, spark: SparkSession, sf_dir: str, build: Callable[[], object]):
+    """Built once per application and input."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
 
 
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     """The training table, written once per application and input, as the pipeline's users would."""
-    return _prepared(spark.sparkContext.applicationId, sf_dir)
+
+    def build() -> Prepared:
+        full = build_training_table(spark, sf_dir)
+        return Prepared(full, pipeline.splits(full))
+
+    return _kept("prepared", spark, sf_dir, build)
 
 
 def matrices(spark: SparkSession, sf_dir: str) -> experiments.Matrices:
-    return _matrices(spark.sparkContext.applicationId, sf_dir)
+    """Train and validation sets of the chosen features."""
+
+    def build() -> experiments.Matrices:
+        parts = prepared(spark, sf_dir).splits
+        return experiments.matrices(parts, experiments.choose_features(parts))
+
+    return _kept("matrices", spark, sf_dir, build)
 
 
 def baseline(spark: SparkSession, sf_dir: str):
     """(model, scored validation set) of the baseline fit, fitted once."""
-    return _baseline(spark.sparkContext.applicationId, sf_dir)
+
+    def build():
+        m = matrices(spark, sf_dir)
+        return experiments.evaluate(m, m.train)
+
+    return _kept("baseline", spark, sf_dir, build)
 
 
 def forget() -> None:
     """Drop what was prepared, so that the next query builds it again."""
-    for kept in (_prepared, _matrices, _baseline):
-        kept.cache_clear()
+    _KEPT.clear()

@@ -68,14 +68,15 @@ def best_round(values: list[float], patience: int = 10) -> int:
 
 
 def fit_with_patience(
-    train: DataFrame, val: DataFrame, config: Boosting = MAIN, patience: int = 10, first: int = 32
+    train: DataFrame, val: DataFrame, config: Boosting = MAIN, patience: int = 10, first: int | None = None
 ) -> GBTClassificationModel:
     """The model of the best round on validation, found with a patience rule.
 
-    With one seed a shorter fit has the same first trees as a longer one. So a short fit is tried first,
-    and doubled only while the patience has not run out; then the best number of rounds is fitted.
+    With one seed a shorter fit has the same first trees as a longer one. So a shorter fit (``first``
+    rounds, half of all unless given) is tried, and doubled only while the patience has not run out; then
+    the best number of rounds is fitted.
     """
-    rounds = min(first, config.rounds)
+    rounds = min(first or max(config.rounds // 2, 1), config.rounds)
     while True:
         model = fit_boosting(train, replace(config, rounds=rounds))
         best = best_round(losses(model, val), patience)
@@ -91,7 +92,8 @@ def learning_curve(model: GBTClassificationModel, sets: dict[str, DataFrame]) ->
         for name, df in sets.items()
         for number, value in enumerate(losses(model, df), start=1)
     ]
-    return session().createDataFrame(rows, "split string, round int, log_loss double")
+    spark = next(iter(sets.values())).sparkSession
+    return spark.createDataFrame(rows, "split string, round int, log_loss double")
 
 
 def fit_logistic(train: DataFrame, rows: int, iterations: int = 1000):

@@ -97,10 +97,10 @@ def run_grid(m: Matrices, config: Boosting = MAIN, parallelism: int = 6) -> Data
 
     with ThreadPoolExecutor(parallelism) as pool:
         found = [row for rows in pool.map(one, GRID) for row in rows]
-    return models.session().createDataFrame(found, "experiment string, Metric string, Value double")
+    return m.train.sparkSession.createDataFrame(found, "experiment string, Metric string, Value double")
 
 
-def compare(m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND) -> DataFrame:
+def compare(m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND, parallelism: int = 3) -> DataFrame:
     """Precision, recall, F1 and AUC of logistic regression and two boosted-tree configurations."""
     rows = m.train.count()
     fits: dict[str, Callable] = {
@@ -108,10 +108,13 @@ def compare(m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND) -> Da
         "Boosted trees, second": lambda: models.fit_boosting(m.train, second),
         "Boosted trees, main": lambda: models.fit_with_patience(m.train, m.val, main),
     }
-    out = []
-    for name, fit in fits.items():
-        row = metrics.summary(models.score(fit(), m.val)).first()
-        out.append((name, row.precision, row.recall, row.f1, row.auc))
-    return models.session().createDataFrame(
-        out, "Model string, Precision double, Recall double, `F1-score` double, `ROC-AUC` double"
+
+    def one(name: str) -> tuple[str, float, float, float, float]:
+        row = metrics.summary(models.score(fits[name](), m.val)).first()
+        return name, row.precision, row.recall, row.f1, row.auc
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        found = list(pool.map(one, fits))
+    return m.train.sparkSession.createDataFrame(
+        found, "Model string, Precision double, Recall double, `F1-score` double, `ROC-AUC` double"
     )
