@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from footfall.catalog import sql
 from footfall.catalog.registry import AS_OF, Query, add, log, open_log, query
 from footfall.operators import features, history, rollup, variants
-from footfall.schema import BUY, CATEGORY_FEATURES, ITEM_FEATURES, USER_FEATURES, VIEW
+from footfall.schema import BUY, CATEGORY_FEATURES, USER_FEATURES, VIEW
 
 _ITEM_ORDER = [
     "total_pv", "cart_count", "favorite_count", "buy_count", "last3day_pv", "last7day_pv",

@@ -11,7 +11,7 @@ from footfall.catalog.registry import (
     AS_OF, LABEL_DAYS, TRAIN_AS_OF, TRAIN_DAYS, add, baseline, build_training_table, label_log, log, matrices,
     open_log, prepared, query, table,
 )
-from footfall.operators import assemble, features, models, rebalance, selection, split
+from footfall.operators import assemble, features, rebalance, selection, split
 from footfall.plans import pipeline
 from footfall.schema import LEAKY_SELECTED, RATIOS, SEED
 

@@ -28,7 +28,7 @@ def undersampled_size(negatives: int, positives: int, ratio: float) -> int:
     return negatives if ratio <= 0 else min(int(positives / ratio), negatives)
 
 
-def _draws(df: DataFrame, n: int, seed: object) -> DataFrame:
+def _draws(df: DataFrame, n: int) -> DataFrame:
     """``n`` numbered draws, spread over the cluster."""
     return df.sparkSession.range(n).withColumnRenamed("id", "draw")
 
@@ -43,7 +43,7 @@ def oversample(
     if extra == 0 or positives == 0:
         return df
     ranked = ranking.seeded_rank(df.where(F.col("label") == 1), seed, keys, "_rank")
-    draws = _draws(df, extra, seed).select(
+    draws = _draws(df, extra).select(
         (hashing.draw(F.lit(positives), seed, F.lit("over"), "draw") + 1).alias("_rank")
     )
     return df.unionByName(draws.join(ranked, "_rank").select(*df.columns))
@@ -122,7 +122,7 @@ def smote(
     points = materialise(neighbours.distinct_points(ranked), "points")
     lists = neighbour_lists(points, len(features), k, block_rows)
     pick = hashing.draw(F.lit(positives * k), seed, F.lit("pick"), "draw")
-    draws = _draws(df, extra, seed).select("draw", pick.alias("_pick")).select(
+    draws = _draws(df, extra).select("draw", pick.alias("_pick")).select(
         (F.floor(F.col("_pick") / k) + 1).cast("bigint").alias("_rank"),
         (F.col("_pick") % k + 1).cast("int").alias("_near"),
         hashing.unit(seed, F.lit("gap"), "draw").alias("_gap"),
