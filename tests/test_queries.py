@@ -11,9 +11,9 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_point
+from footfall.catalog import ORACLE, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +23,8 @@ def con():
 
 def test_registry():
     assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries())
+    assert set(ORACLE) <= set(entry_point.oracle_sql()) <= set(entry_point.queries())
     assert not [n for n in QUERIES if n not in ORACLE and not n.startswith(("m", "f7", "f9"))]
 
 
