@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, pii
+from footfall.llm import bpe, language, pii, token_counts, toxicity
 from footfall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +20,30 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), path)
+
+
 @query
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.learn(docs, labels))
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
+
+
 @query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
