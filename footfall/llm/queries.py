@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, language, pii, token_counts, toxicity
+from footfall.llm import bpe, language, minhash, pii, token_counts, toxicity
 from footfall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=2))
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -47,3 +52,30 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_minhash"] = """
+    WITH RECURSIVE words AS (
+        SELECT doc_id, list_filter(regexp_split_to_array(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'
+        ), lambda w: w <> '') AS w FROM documents
+    ), sets AS (
+        SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM words WHERE len(w) > 0)
+    ), sizes AS (
+        SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+    ), shared AS (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sets x JOIN sets y ON x.s = y.s AND x.doc_id < y.doc_id
+        GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+        WHERE 100 * c >= 80 * (p.n + q.n - c)
+    ), reach AS (
+        SELECT doc_id AS a, doc_id AS b FROM documents
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON l.a = r.b
+    )
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id)
+    JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
