@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, language, minhash, pii, token_counts, toxicity
+from footfall.llm import bpe, language, minhash, mixing, pii, sharding, token_counts, toxicity
 from footfall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(words=2))
@@ -54,6 +59,11 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op2_minhash"] = """
     WITH RECURSIVE words AS (
         SELECT doc_id, list_filter(regexp_split_to_array(
@@ -79,3 +89,74 @@ ORACLE["op2_minhash"] = """
     FROM documents d LEFT JOIN sizes USING (doc_id)
     JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
 """
+
+ORACLE["op1_mixing"] = """
+    WITH sizes AS (
+        SELECT doc_id, source, coalesce('0' || source, '1') AS k, md5('mix|' || coalesce(doc_id::VARCHAR, '')) AS place,
+            coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+        FROM documents
+    ), sources AS (
+        SELECT k, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY k) - 1) % 3 + 1)::DOUBLE AS weight
+        FROM sizes GROUP BY k
+    ), rise AS (
+        SELECT *, (3 * source_size)::DOUBLE AS room,
+            ((SELECT sum(size) FROM sizes) - coalesce(sum((3 * source_size)::DOUBLE) OVER (
+                ORDER BY 3 * source_size / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY 3 * source_size / weight, k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rise
+        FROM sources
+    ), level AS (
+        SELECT arg_min(rise, room / weight) AS level FROM rise WHERE rise <= room / weight
+    ), plan AS (
+        SELECT k, source_size, least(room, level * weight) AS target FROM rise, level
+    ), stretch AS (
+        SELECT *, sum(target) OVER (ORDER BY k) AS high, floor(target)::BIGINT // greatest(source_size, 1) * ceil(source_size / 2048)
+                + ceil(floor(target)::BIGINT % greatest(source_size, 1) / 2048) AS quota,
+            round(sum(target) OVER ()) AS total FROM plan
+    ), drawn AS (
+        SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS x FROM (
+            SELECT unnest(range(1, (SELECT ceil(max(total) / 2048)::BIGINT + 1 FROM stretch))) AS slot)
+    ), held AS (
+        SELECT k, slot, row_number() OVER (PARTITION BY k ORDER BY slot) - 1 AS rank, quota
+        FROM drawn JOIN stretch ON target >= 1 AND (high - target) / total <= x AND x < high / total
+    ), slots AS (
+        SELECT k, slot, rank FROM held WHERE rank < quota
+        UNION ALL
+        SELECT k, rank + 1 + ceil(total / 2048)::BIGINT, rank FROM (
+            SELECT k, total, unnest(range(coalesce(got, 0), quota::BIGINT)) AS rank
+            FROM stretch LEFT JOIN (SELECT k, count(*) AS got FROM held GROUP BY k) USING (k) WHERE target >= 1)
+    ), stream AS (
+        SELECT *, sum(size) OVER (PARTITION BY k ORDER BY place, size, doc_id) - size AS start FROM sizes
+    ), pieces AS (
+        SELECT k, place, slot FROM stream JOIN stretch USING (k) JOIN slots USING (k)
+        WHERE size > 0 AND start // 2048 <= rank % ceil(source_size / 2048) AND (start + size - 1) // 2048 >= rank % ceil(source_size / 2048)
+    ), firsts AS (
+        SELECT k, place, min(slot)::BIGINT AS first_slot FROM pieces GROUP BY ALL
+    ), taken AS (
+        SELECT k, doc_id, source, size, place, source_size, target, (floor(target)::BIGINT // greatest(source_size, 1)) * size
+            + greatest(least(floor(target)::BIGINT % greatest(source_size, 1) - start, size), 0) AS taken
+        FROM stream JOIN plan USING (k)
+    )
+    SELECT doc_id, source, size, source_size, target, taken::BIGINT AS taken, CASE WHEN size > 0 THEN first_slot END AS first_slot
+    FROM taken LEFT JOIN firsts USING (k, place)
+"""
+ORACLE["op10_sharding"] = """
+    WITH RECURSIVE table_step(i, b, c) AS (
+        SELECT i, 0, i::BIGINT FROM (SELECT unnest(range(256)) AS i)
+        UNION ALL
+        SELECT i, b + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM table_step WHERE b < 8
+    ), crc_table AS (
+        SELECT list(c ORDER BY i) AS t FROM table_step WHERE b = 8
+    ), keyed AS (
+        SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size, md5(coalesce(text, '')) AS text_md5
+        FROM documents
+    ), placed AS (
+        SELECT doc_id, text, size, least(floor((sum(size) OVER (ORDER BY text_md5, doc_id) - size / 2) * 16
+            / sum(size) OVER ()), 15)::INT AS shard, text_md5 FROM keyed
+    )
+    SELECT doc_id, size::BIGINT AS size, xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+            lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])
+        )) AS text_crc32, 'bytes' AS law, shard,
+        (row_number() OVER (PARTITION BY shard ORDER BY text_md5, doc_id) - 1)::BIGINT AS slot, NULL::INT AS grown_shard
+    FROM placed, crc_table
+"""
