@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, language, minhash, mixing, pii, sharding, token_counts, toxicity
+from footfall.llm import bpe, embeddings, language, minhash, mixing, pii, sharding, token_counts, topk, toxicity
 from footfall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,11 +54,21 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.learn(docs))
 
 
+@query
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0)
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
@@ -160,3 +170,31 @@ ORACLE["op10_sharding"] = """
         (row_number() OVER (PARTITION BY shard ORDER BY text_md5, doc_id) - 1)::BIGINT AS slot, NULL::INT AS grown_shard
     FROM placed, crc_table
 """
+ORACLE["op7_embeddings"] = """
+    WITH RECURSIVE valid AS (
+        SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE len(embedding) > 0
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+            AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+    ), links AS (
+        SELECT p.vec_id AS a, q.vec_id AS b FROM valid p JOIN valid q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+        WHERE list_cosine_similarity(p.x, q.x) >= 0.9
+    ), reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION
+        SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+    )
+    SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+    FROM embeddings e JOIN (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a) USING (vec_id)
+    LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)
+"""
+ORACLE["op9_top_k"] = """
+    WITH valid AS (
+        SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * c::DOUBLE)) AS x FROM embeddings WHERE len(embedding) > 0
+            AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+        FROM valid q JOIN valid c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 10
+"""
