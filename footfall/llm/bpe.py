@@ -118,7 +118,7 @@ class Merges:
         inner = np.flatnonzero(right >= 0).astype(np.int32)
         here[inner] = self.pair(token[inner], token[inner + 1])
         inner = inner[here[inner] != NONE]
-        waiting = [(here[inner], inner)]
+        waiting = [(here[inner], inner)] if len(inner) else []
         alone: set[int] = set()
         low = 0
         while waiting:
