@@ -44,7 +44,6 @@ FULL = np.uint64(2**64 - 1)
 REMEMBERED_WORDS = 400_000
 #: Bits of the bitmap that keeps documents without candidates out of the fetch: 4 MB whatever the data.
 BITMAP = 1 << 25
-MARK = "_marked_id"
 
 
 @dataclass(frozen=True)
@@ -272,24 +271,27 @@ def _bitmap(wanted: DataFrame) -> np.ndarray:
 
 
 def _by_bitmap(docs: DataFrame, bitmap: np.ndarray, inside: bool) -> DataFrame:
-    """The documents whose bit is set, or those whose bit is not, which have no listed id; a null id is not listed."""
+    """As one column ``doc``, the documents whose bit is set, or those whose bit is not, which have no listed id.
+
+    A null id is not listed.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    columns = docs.columns
 
     def run(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
-            bit = batch.column(len(columns)).to_numpy()
+            bit = batch.column(1).to_numpy()
             hit = (bit >= 0) & ((shared.value[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1).astype(bool)
-            yield batch.select(list(range(len(columns)))).filter(pa.array(hit == inside))
+            yield batch.select([0]).filter(pa.array(hit == inside))
 
     bit = F.when(F.col("doc_id").isNull(), F.lit(-1).cast("long")).otherwise(_bit(F.col("doc_id")))
-    return docs.withColumn("_bit", bit).mapInArrow(run, docs.schema)
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), bit.alias("bit"))
+    return rows.mapInArrow(run, rows.select("doc").schema)
 
 
 def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``wanted`` (column id and others, ids once) with its documents' texts."""
     some = _by_bitmap(docs.where(F.col("text").isNotNull()).select("doc_id", "text"), _bitmap(wanted), True)
-    return some.withColumnRenamed("doc_id", "id").join(wanted, "id")
+    return some.select(F.col("doc.doc_id").alias("id"), "doc.text").join(wanted, "id")
 
 
 def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
@@ -375,8 +377,7 @@ def keep_first(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     )
     bitmap = _bitmap(marked)
     surely, perhaps = (_by_bitmap(docs, bitmap, inside) for inside in (False, True))
-    rest = perhaps.join(marked.withColumnRenamed("id", MARK), F.col("doc_id") == F.col(MARK), "left")
-    single = rest.where(F.col(MARK).isNull()).select(docs.columns)
-    first = F.row_number().over(W.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
-    repeated = rest.where("keep").withColumn("_first", first).where("_first = 1").select(docs.columns)
-    return surely.unionByName(single).unionByName(repeated)
+    rest = perhaps.withColumn("id", F.col("doc.doc_id")).join(marked, "id", "left")
+    first = F.row_number().over(W.partitionBy("id").orderBy("doc.text", "doc"))
+    repeated = rest.where("keep").withColumn("place", first).where("place = 1").select("doc")
+    return surely.unionByName(rest.where("keep is null").select("doc")).unionByName(repeated).select("doc.*")

@@ -178,33 +178,29 @@ def apply(docs: DataFrame, block: int = 2048, seed: str = "mix") -> DataFrame:
         F.max("most").alias("most"), F.min(F.when(F.col("times") < F.col("most"), F.col("place"))).alias("fall")
     ).where("most > 0"), "falls")
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    placed = docs.withColumns({
-        "_key": _source_key(F.col("source")), "_size": word_count(F.col("text")),
-        "_place": F.md5(F.concat_ws("|", F.lit(seed), text_id)),
-    }).where("_size > 0").join(falls.withColumnRenamed("source_key", "_key"), "_key")
-    plain = placed.where("fall is null or _place <> fall").withColumns({
-        "_times": F.when(F.col("fall").isNull() | (F.col("_place") < F.col("fall")), F.col("most")).otherwise(F.col("most") - 1),
-        "_rest": F.lit(0).cast("long"),
-    })
+    # documents travel as one column, so that none of theirs can clash
+    placed = docs.select(
+        F.struct(*docs.columns).alias("doc"), _source_key(F.col("source")).alias("source_key"),
+        word_count(F.col("text")).alias("size"), F.md5(F.concat_ws("|", F.lit(seed), text_id)).alias("place"),
+    ).where("size > 0").join(falls, "source_key")
+    times = F.when(F.col("fall").isNull() | (F.col("place") < F.col("fall")), F.col("most")).otherwise(F.col("most") - 1)
+    plain = placed.where("fall is null or place <> fall").select("doc", times.alias("times"), F.lit(0).cast("long").alias("rest"))
     # the documents at the fall, one per source unless rows repeat an id
-    alike = W.partitionBy("_key", "_place", "_size").orderBy(*docs.columns)
+    alike = ["source_key", "place", "size"]
     cut = marked.join(falls.where("fall is not null").select("source_key", F.col("fall").alias("place")), ["source_key", "place"]).select(
-        F.col("source_key").alias("_key"), F.col("place").alias("_place"), F.col("size").alias("_size"),
-        F.col("times").alias("_times"), F.col("rest").alias("_rest"),
-        F.row_number().over(W.partitionBy("source_key", "place", "size").orderBy("first")).alias("_copy"),
+        *alike, "times", "rest", F.row_number().over(W.partitionBy(*alike).orderBy("first")).alias("copy")
     )
-    at_fall = placed.where("_place = fall").withColumn("_copy", F.row_number().over(alike)).join(
-        cut, ["_key", "_place", "_size", "_copy"]
-    )
-    columns = [*docs.columns, "_times", "_rest"]
-    copies = plain.select(columns).unionByName(at_fall.select(columns)).withColumn(
-        "_n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_times")))
-    ).where("_n < _times or _rest > 0")
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    whole = F.col("_n") < F.col("_times")
-    text = F.when(whole, F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.col("_rest").cast("int")), " "))
-    out = copies.withColumn("text", text)
+    at_fall = placed.where("place = fall").select(
+        *alike, "doc", F.row_number().over(W.partitionBy(*alike).orderBy("doc")).alias("copy")
+    ).join(cut, [*alike, "copy"]).select("doc", "times", "rest")
+    copies = plain.unionByName(at_fall).withColumn(
+        "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times")))
+    ).where("n < times or rest > 0")
+    words = F.filter(F.split("doc.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    whole = F.col("n") < F.col("times")
+    text = F.when(whole, F.col("doc.text")).otherwise(F.array_join(F.slice(words, 1, F.col("rest").cast("int")), " "))
+    changed = {"text": text}
     if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(length))
-    return out.select(docs.columns)
+        length = F.length(text).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(whole, F.col("doc.n_chars")).otherwise(length)
+    return copies.select(*[changed.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
