@@ -156,9 +156,9 @@ def _mixed(docs: DataFrame, block: int, seed: str) -> DataFrame:
     )
     # documents of size 0 share their first token with the next one, so they must not find its row
     mine = F.when(F.col("size") > 0, F.col("first")).otherwise(-1)
-    return stream.withColumn("first", mine).join(taken, ["source_key", "place", "first"], "left").withColumn(
-        "taken", F.coalesce("taken", F.lit(0)).cast("long")
-    )
+    return stream.withColumn("first", mine).join(taken, ["source_key", "place", "first"], "left").withColumns({
+        "taken": F.coalesce("taken", F.lit(0)).cast("long"), "first_slot": F.when(F.col("taken") > 0, F.col("first_slot")),
+    })
 
 
 def apply(docs: DataFrame, block: int = 2048, seed: str = "mix") -> DataFrame:

@@ -146,7 +146,7 @@ ORACLE["op1_mixing"] = """
             + greatest(least(floor(target)::BIGINT % greatest(source_size, 1) - start, size), 0) AS taken
         FROM stream JOIN plan USING (k)
     )
-    SELECT doc_id, source, size, source_size, target, taken::BIGINT AS taken, CASE WHEN size > 0 THEN first_slot END AS first_slot
+    SELECT doc_id, source, size, source_size, target, taken::BIGINT AS taken, CASE WHEN taken > 0 THEN first_slot END AS first_slot
     FROM taken LEFT JOIN firsts USING (k, place)
 """
 ORACLE["op10_sharding"] = """
