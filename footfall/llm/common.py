@@ -27,18 +27,31 @@ def doc_draw(seed: str, doc_id: Column) -> Column:
     return F.conv(F.substring(text, 1, 13), 16, 10).cast("bigint") / F.lit(float(16**13))
 
 
-def bounded_sample(rows: DataFrame, seed: str, max_rows: int, max_chars: int) -> list:
+def bounded_sample(
+    docs: DataFrame, seed: str, max_rows: int, max_chars: int, labels: DataFrame | None = None
+) -> list[tuple]:
     """A repeatable draw of (doc_id, text, label) rows for a classifier fit on the driver.
 
-    About ``max_rows`` rows and ``max_chars`` characters at most: a first pass counts both, and the share
-    drawn by the hash of doc_id follows from them. Texts are whole. A text longer than a sixteenth of
-    the character bound is left out of the fit, so that no single row can break the bound.
+    The label is a column of ``docs``, or of ``labels`` with the same doc_id. About ``max_rows`` rows and
+    ``max_chars`` characters at most: a first pass counts both, from lengths alone, and the share drawn by the hash of
+    doc_id follows; only drawn rows' texts are moved. Texts are whole. A text longer than a sixteenth of
+    the character bound is left out of the fit, so that no single row can break the bound. Rows
+    whose text or label is null don't count.
     """
-    fit = rows.where(F.length("text") <= max_chars // 16)
-    n, chars = fit.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    share = min(1.0, max_rows / max(n, 1), max_chars / max(chars, 1))
-    drawn = fit.where(doc_draw(seed, F.col("doc_id")) < share) if share < 1 else fit
-    return sorted(map(tuple, drawn.select("doc_id", "text", "label").collect()), key=repr)
+    docs = docs.where(F.length("text") <= max_chars // 16)
+
+    def labelled(kept: Column, *columns: Column) -> DataFrame:
+        if labels is None:
+            return docs.where(kept & F.col("label").isNotNull()).select(*columns, "label")
+        known = labels.select("doc_id", "label").where(kept & F.col("label").isNotNull())
+        return docs.where(kept).select("doc_id", *columns).join(known, "doc_id")
+
+    counts = F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))
+    rows, chars = labelled(F.lit(True), F.length("text").alias("n")).agg(*counts).first()
+    share = min(1.0, max_rows / max(rows, 1), max_chars / max(chars, 1))
+    drawn = doc_draw(seed, F.col("doc_id")) < share if share < 1 else F.lit(True)
+    found = labelled(drawn, F.col("doc_id").alias("id"), F.col("text")).select("id", "text", "label")
+    return sorted(map(tuple, found.collect()), key=repr)
 
 
 def text_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str]]]:

@@ -72,14 +72,13 @@ def has_letter(text: str) -> bool:
     return next(filter(str.isalpha, text), None) is not None
 
 
-def _bag(words: list[str], s: Settings, memory: dict[str, list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    rows: list[int] = []
+def _bag(words: list[str], s: Settings, memory: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     for w in words:
         if w not in memory:
-            memory[w] = subwords(w, s)
-        rows += memory[w]
-    index, n = np.unique(np.array(rows, np.int64), return_counts=True)
-    return index, n / max(len(rows), 1)
+            memory[w] = np.array(subwords(w, s), np.int32)
+    rows = np.concatenate([memory[w] for w in words])
+    index, n = np.unique(rows, return_counts=True)
+    return index, n / len(rows)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -97,7 +96,7 @@ def fit(rows: list[tuple], settings: Settings | None = None) -> Model | None:
     rng = np.random.default_rng(s.seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
     aside = int(len(rows) * s.aside)
-    memory: dict[str, list[int]] = {}
+    memory: dict[str, np.ndarray] = {}
 
     def bags(part, short: bool):
         out = []
@@ -194,9 +193,7 @@ class Scorer:
 def learn(docs: DataFrame, settings: Settings | None = None) -> Model | None:
     """Fits on rows with a language whose id is not held out."""
     s = settings or Settings()
-    rows = docs.select("doc_id", "text", F.col("lang").alias("label")).where(
-        ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
+    rows = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text", F.col("lang").alias("label"))
     return fit(bounded_sample(rows, "language", s.max_rows, s.max_chars), s)
 
 

@@ -43,8 +43,8 @@ REMEMBERED = 200_000
 
 @dataclass(frozen=True)
 class Settings:
-    max_rows: int = 12_000
-    max_chars: int = 24_000_000
+    max_rows: int = 6_000
+    max_chars: int = 12_000_000
     neighbours: int = 15
     block: int = 64
     #: Toxic texts that must hold a term, and the log-likelihood ratio it must reach.
@@ -239,8 +239,8 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
     s = settings or Settings()
     known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull())
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("label"))
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    return fit(bounded_sample(texts.join(known, "doc_id"), "toxicity", s.max_rows, s.max_chars), s)
+    texts = docs.where(~held_out(F.col("doc_id")))
+    return fit(bounded_sample(texts, "toxicity", s.max_rows, s.max_chars, known), s)
 
 
 class Scorer:
