@@ -57,11 +57,9 @@ def _by_event(kind: str) -> None:
         return variants.not_bought_by_event(rollup.pairs(log(spark, sf)), count, name)
 
     add(f"v{number}_{kind}_not_buy_by_event", run, sql.with_(sql.LOG, f"""
-SELECT a.user_id, a.n::DOUBLE / b.n AS {name}
-FROM (SELECT user_id, count(*) AS n FROM log x WHERE behavior_type = {code} AND NOT EXISTS (
-        SELECT 1 FROM log y WHERE y.user_id = x.user_id AND y.item_id = x.item_id AND y.behavior_type = 4)
-      GROUP BY user_id) a
-JOIN (SELECT user_id, count(*) AS n FROM log WHERE behavior_type = {code} GROUP BY user_id) b USING (user_id)"""))
+SELECT user_id, count(*) FILTER (WHERE NOT bought)::DOUBLE / count(*) AS {name}
+FROM (SELECT user_id, behavior_type, bool_or(behavior_type = 4) OVER (PARTITION BY user_id, item_id) AS bought FROM log)
+WHERE behavior_type = {code} GROUP BY user_id HAVING NOT bool_and(bought)"""))
 
 
 for _kind in ("view", "cart", "fav"):
@@ -69,10 +67,9 @@ for _kind in ("view", "cart", "fav"):
 
 
 @query("v4_interest_concentration_views", sql.with_(sql.LOG, """
-SELECT user_id, a.top::DOUBLE / b.n AS interest_concentration
-FROM (SELECT user_id, max(n) AS top FROM (SELECT user_id, item_category, count(*) AS n FROM log
-        WHERE behavior_type = 1 GROUP BY ALL) GROUP BY user_id) a
-JOIN (SELECT user_id, count(*) AS n FROM log GROUP BY user_id) b USING (user_id)"""))
+SELECT user_id, max(views)::DOUBLE / sum(rows) AS interest_concentration FROM (
+  SELECT user_id, item_category, count(*) FILTER (WHERE behavior_type = 1) AS views, count(*) AS rows FROM log GROUP BY ALL)
+GROUP BY user_id HAVING max(views) > 0"""))
 def _v4(spark, sf):
     return variants.view_concentration(log(spark, sf))
 

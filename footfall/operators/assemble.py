@@ -44,15 +44,20 @@ def labelled(
     return attach_label(candidates(log, as_of), labels(log if label_log is None else label_log, as_of, days))
 
 
-def sample_negatives(df: DataFrame, ratio: int = 10, seed: object = SEED) -> DataFrame:
+def sample_negatives(df: DataFrame, ratio: int = 10, seed: object = SEED, allow_fewer: bool = False) -> DataFrame:
     """All positives and exactly ``ratio`` negatives for each, drawn without replacement.
 
-    Where fewer negatives exist all of them are kept; :func:`sampling_report` shows it. The input is
-    read several times (counts, then rows), so write it first when it is costly.
+    Where fewer negatives exist the query fails, unless ``allow_fewer`` asks for all there are; :func:`sampling_report`
+    tells beforehand. The input is read several times (counts, then rows), so write it first when it is costly.
     """
     positive, negative = df.where(F.col("label") == 1), df.where(F.col("label") == 0)
-    wanted = (positive.agg(F.count(F.lit(1)).alias("n")).scalar() * ratio).cast("bigint")
-    return positive.unionByName(ranking.seeded_take(negative, seed, ROW, wanted))
+    wanted = F.count_if(F.col("label") == 1) * ratio
+    available = F.count_if(F.col("label") == 0)
+    if not allow_fewer:
+        short = F.concat(F.lit("negatives wanted: "), wanted.cast("string"), F.lit(", available: "), available.cast("string"))
+        wanted = F.when(available >= wanted, wanted).otherwise(F.raise_error(short).cast("bigint"))
+    n = df.agg(wanted.cast("bigint").alias("n")).scalar()
+    return positive.unionByName(ranking.seeded_take(negative, seed, ROW, n))
 
 
 def sampling_report(df: DataFrame, ratio: int = 10) -> DataFrame:

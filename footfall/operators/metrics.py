@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.operators.ranking import running_totals
+from footfall.session import materialise
 
 CLIP = 2.0**-52
 
@@ -23,25 +24,29 @@ def _or_zero(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
+def _class_rates() -> list[Column]:
+    """Precision, recall and F1 of the positive class as aggregates; 0 where undefined."""
+    hits = F.count_if((F.col("label") == 1) & (F.col("prediction") == 1))
+    called, actual = F.count_if(F.col("prediction") == 1), F.count_if(F.col("label") == 1)
+    return [
+        _or_zero(hits, called).alias("precision"),
+        _or_zero(hits, actual).alias("recall"),
+        _or_zero(hits * 2, called + actual).alias("f1"),
+    ]
+
+
 def precision_recall(scored: DataFrame) -> DataFrame:
     """Precision, recall and F1 of the positive class; 0 where undefined."""
-    hit = (F.col("label") == 1) & (F.col("prediction") == 1)
-    counts = scored.agg(
-        F.count_if(hit).alias("tp"),
-        F.count_if(F.col("prediction") == 1).alias("called"),
-        F.count_if(F.col("label") == 1).alias("actual"),
-    )
-    return counts.select(
-        _or_zero(F.col("tp"), F.col("called")).alias("precision"),
-        _or_zero(F.col("tp"), F.col("actual")).alias("recall"),
-        _or_zero(F.col("tp") * 2, F.col("called") + F.col("actual")).alias("f1"),
-    )
+    return scored.agg(*_class_rates())
 
 
-def log_loss(scored: DataFrame) -> DataFrame:
+def _mean_loss() -> Column:
     p = F.least(F.greatest(F.col("score"), F.lit(CLIP)), F.lit(1 - CLIP))
-    loss = F.when(F.col("label") == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))
-    return scored.agg(F.avg(loss).alias("log_loss"))
+    return F.avg(F.when(F.col("label") == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))).alias("log_loss")
+
+
+def log_loss(scored: DataFrame) -> DataFrame:
+    return scored.agg(_mean_loss())
 
 
 def by_score(scored: DataFrame) -> DataFrame:
@@ -53,7 +58,10 @@ def by_score(scored: DataFrame) -> DataFrame:
 
 
 def auc(scored: DataFrame, curve: DataFrame | None = None) -> DataFrame:
-    """Area under the ROC curve, tied pairs counted half; NULL unless both classes occur."""
+    """Area under the ROC curve, tied pairs counted half; NULL unless both classes occur.
+
+    Without a curve from by_score, one is written while this is built.
+    """
     curve = by_score(scored) if curve is None else curve
     below = F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0))
     area = F.sum(below)
@@ -87,7 +95,10 @@ def _corners(curve: DataFrame) -> DataFrame:
 
 
 def roc(scored: DataFrame, curve: DataFrame | None = None, corners_only: bool = True) -> DataFrame:
-    """Points (fpr, tpr, threshold) from the highest score down, after the origin at infinity."""
+    """Points (fpr, tpr, threshold) from the highest score down, after the origin at infinity.
+
+    Without a curve from by_score, one is written while this is built.
+    """
     curve = by_score(scored) if curve is None else curve
     points = _corners(curve) if corners_only else curve
     sums = curve.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
@@ -103,11 +114,14 @@ def roc(scored: DataFrame, curve: DataFrame | None = None, corners_only: bool =
     return origin.unionByName(drawn)
 
 
+def kept_scores(scored: DataFrame) -> DataFrame:
+    """What the metrics read of a scored set, written once, so that the model scores it once."""
+    return materialise(scored.select("label", "prediction", "score"), "scored")
+
+
 def summary(scored: DataFrame) -> DataFrame:
-    """One row: precision, recall, f1, auc, log_loss. Each part is one row, joined on a constant key."""
-    one = F.lit(1).alias("_one")
-    parts = [precision_recall(scored), auc(scored), log_loss(scored)]
-    first, *rest = [p.select(one, "*") for p in parts]
-    for part in rest:
-        first = first.join(part, "_one")
-    return first.drop("_one")
+    """One row: precision, recall, f1, auc, log_loss. Writes the scores and their curve while it is built."""
+    kept = kept_scores(scored)
+    return kept.agg(*_class_rates(), _mean_loss()).select(
+        "precision", "recall", "f1", auc(kept).scalar().alias("auc"), "log_loss"
+    )

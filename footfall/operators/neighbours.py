@@ -1,28 +1,33 @@
 """Exact nearest neighbours without comparing every pair.
 
-Distinct points are put in order along the coordinate that varies most and cut into blocks of a fixed
-number of rows. A point's neighbours inside its block bound how far its true ones can be, and the
-difference in that one coordinate bounds the distance from below, so only blocks within the bound are
-visited. Work is grouped by (home block, visited block): neither side of a group exceeds a block, and a
-group sends on at most ``k`` rows per point. Copies of a point are one row with a count, so no number of
-copies makes a block hot.
+Distinct points are cut into cells: a cell with more rows than a block is halved along its widest coordinate, at the
+median, again and again, and every cell keeps its box. A point's neighbours inside its own cell bound how far its true ones
+can be; the distance to a cell's box, over all coordinates, bounds the distance to its points from below. So a point visits only cells whose
+box is within its bound: the nearest few first, then those still within the bound that these leave. Which cells can matter to any point of a cell is found by
+descending the tree of boxes, level by level, as joins of cells with nodes; both are tables.
+
+Work is grouped by (home cell, visited cell): neither side of a group exceeds a block, and a group sends on
+at most ``k`` rows per point. Copies of a point are one row with a count, so no number of copies fills a cell.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from footfall.operators.ranking import running_totals
 from footfall.session import materialise
 
 BLOCK_ROWS = 8192
+#: Cells that are visited before bounds are tightened.
+NEAREST_CELLS = 4
 _CHUNK = 256
+_ROOT = "r"
 
 
 def distinct_points(df: DataFrame, point: str = "x") -> DataFrame:
@@ -64,26 +69,22 @@ def _matrix(points: pd.Series) -> np.ndarray:
     return np.array(points.tolist(), dtype=float)
 
 
-def _inside(k: int, low: np.ndarray, high: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Neighbours in the home block, and the blocks that may hold closer ones."""
+def _lists(columns: list[np.ndarray], row: np.ndarray, n: int) -> list[list[np.ndarray]]:
+    """Each column cut into one piece per point; ``row`` names the point of each entry, in order."""
+    stops = np.searchsorted(row, np.arange(1, n))
+    return [np.split(c, stops) for c in columns]
+
+
+def _inside(k: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Neighbours in the home cell, and the distance of the k-th."""
 
     def find(frame: pd.DataFrame) -> pd.DataFrame:
         ids, points = frame["vid"].to_numpy(), _matrix(frame["x"])
-        lists: list[list] = [[] for _ in ids]
-        for row, col, found in _closest(ids, points, ids, points, k):
-            for r, c, d in zip(row, col, found):
-                lists[r].append((d, ids[c]))
-        bound = np.array([found[-1][0] if len(found) == k else np.inf for found in lists])
-        reach = np.sqrt(bound) * (1 + 1e-9)
-        at = frame["axis"].to_numpy()
-        home = int(frame["block"].iloc[0])
-        first = np.searchsorted(high, at - reach, side="left")
-        last = np.searchsorted(low, at + reach, side="right") - 1
+        row, col, found = (np.concatenate(c) for c in zip(*_closest(ids, points, ids, points, k)))
+        distances, others = _lists([found, ids[col]], row, len(ids))
         return pd.DataFrame({
-            "vid": ids,
-            "found": [[{"d": d, "other": o} for d, o in found] for found in lists],
-            "bound": bound,
-            "visits": [[b for b in range(f, t + 1) if b != home] for f, t in zip(first, last)],
+            "vid": ids, "d": distances, "other": others,
+            "bound": [d[-1] if len(d) == k else np.inf for d in distances],
         })
 
     return find
@@ -106,41 +107,115 @@ def _visiting(k: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
     return find
 
 
+def _sum(parts: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts)
+
+
+def _box_distance(low: Column, high: Column, box_low: Column, box_high: Column, dimensions: int) -> Column:
+    """Squared distance between two boxes; a point is a box of its own."""
+    gaps = [
+        F.greatest(box_low[i] - high[i], low[i] - box_high[i], F.lit(0.0)) for i in range(dimensions)
+    ]
+    return _sum([g * g for g in gaps])
+
+
+def cells(points: DataFrame, dimensions: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(vid, x, cell) of every point, and the boxes (node, low, high, leaf) of all cells and of those they were cut from.
+
+    A node's name is its parent's and a digit. Each level is two groupings over the points and one table.
+    """
+    corner = [F.array(*[f(F.col("x")[i]) for i in range(dimensions)]) for f in (F.min, F.max)]
+    placed = points.select("vid", "x", F.lit(_ROOT).alias("cell"))
+    boxes = []
+    while True:
+        now = materialise(placed.groupBy("cell").agg(
+            F.count(F.lit(1)).alias("n"), corner[0].alias("low"), corner[1].alias("high")
+        ), "boxes")
+        full = now.where(F.col("n") > block_rows)
+        if full.isEmpty():
+            boxes.append(now.select(F.col("cell").alias("node"), "low", "high", F.lit(True).alias("leaf")))
+            return placed, materialise(reduce(DataFrame.unionByName, boxes), "nodes")
+        boxes.append(full.select(F.col("cell").alias("node"), "low", "high", F.lit(False).alias("leaf")))
+        widths = F.zip_with("high", "low", lambda h, l: h - l)
+        axis = (F.array_position(widths, F.array_max(widths)) - 1).cast("int")
+        wide = full.select("cell", axis.alias("axis"), F.get("low", axis).alias("least"), F.get("high", axis).alias("most"))
+        at = F.get("x", F.col("axis"))
+        middles = placed.join(wide, "cell").groupBy("cell").agg(
+            F.first("axis").alias("axis"), F.first("least").alias("least"), F.first("most").alias("most"),
+            F.percentile_approx(at, 0.5).alias("middle"),
+        )
+        # distinct points differ along the widest coordinate, so both sides of the cut hold some
+        cuts = middles.select("cell", "axis", F.when(F.col("middle") < F.col("most"), F.col("middle")).otherwise(F.col("least")).alias("cut"))
+        side = F.when(F.col("cut").isNull(), "").when(at <= F.col("cut"), "0").otherwise("1")
+        placed = materialise(placed.join(cuts, "cell", "left").select("vid", "x", F.concat("cell", side).alias("cell")), "cells")
+
+
+def _reachable(homes: DataFrame, nodes: DataFrame, dimensions: int) -> DataFrame:
+    """(home, host, gap): other cells within the largest bound of any point of a cell."""
+    boxes = nodes.select("node", F.col("low").alias("box_low"), F.col("high").alias("box_high"), "leaf")
+    gap = _box_distance(F.col("low"), F.col("high"), F.col("box_low"), F.col("box_high"), dimensions)
+    front = homes.withColumn("node", F.lit(_ROOT))
+    found = []
+    while True:
+        met = materialise(front.join(boxes, "node").withColumn("gap", gap).where(F.col("gap") <= F.col("reach")), "front")
+        found.append(met.where("leaf and node <> home").select("home", F.col("node").alias("host"), "gap"))
+        inner = met.where(~F.col("leaf"))
+        if inner.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        front = inner.select("home", "low", "high", "reach", F.explode(
+            F.array(F.concat("node", F.lit("0")), F.concat("node", F.lit("1")))
+        ).alias("node"))
+
+
+def _visit(placed: DataFrame, bounds: DataFrame, meetings: DataFrame, nodes: DataFrame, dimensions: int, k: int) -> DataFrame:
+    """(vid, d, other) of what points find in the cells their home meets, where the box is within the point's bound."""
+    boxes = nodes.where("leaf").select(F.col("node").alias("host"), F.col("low").alias("box_low"), F.col("high").alias("box_high"))
+    away = _box_distance(F.col("x"), F.col("x"), F.col("box_low"), F.col("box_high"), dimensions)
+    guests = placed.join(bounds, "vid").select(F.col("cell").alias("home"), "vid", "x", "bound").join(
+        meetings.select("home", "host"), "home"
+    ).join(boxes, "host").where(away <= F.col("bound")).select("home", "host", "vid", "x", "bound")
+    hosts = placed.select(F.col("cell").alias("host_cell"), F.col("vid").alias("host_vid"), F.col("x").alias("host_x")).join(
+        meetings.select(F.col("home").alias("guest_cell"), F.col("host").alias("host_cell")), "host_cell"
+    ).groupBy("guest_cell", "host_cell")
+    return guests.groupBy("home", "host").cogroup(hosts).applyInPandas(_visiting(k), "vid string, d double, other string")
+
+
+def _best(found: DataFrame, k: int) -> DataFrame:
+    place = F.row_number().over(W.partitionBy("vid").orderBy("d", "other"))
+    return found.withColumn("place", place).where(F.col("place") <= k)
+
+
 def nearest(points: DataFrame, dimensions: int, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(vid, place, d2, other) for the k nearest other points, squared Euclidean distance, ties by id."""
-    spread = points.agg(*[F.var_pop(F.col("x")[i]).alias(f"s{i}") for i in range(dimensions)]).first()
-    axis = max(range(dimensions), key=lambda i: (spread[i] or 0.0, -i))
-    keyed = points.select("vid", "x", F.col("x")[axis].alias("axis"), F.lit(1).alias("one"))
-    placed = running_totals(keyed, ["axis", "vid"], ["one"])
-    blocks = materialise(
-        placed.select("vid", "x", "axis", F.floor((F.col("cum_one") - 1) / block_rows).cast("int").alias("block")),
-        "blocks",
-    )
-    # One row per block: rows / block_rows of them, two numbers each.
-    edges = blocks.groupBy("block").agg(F.min("axis"), F.max("axis")).orderBy("block").collect()
-    low, high = np.array([e[1] for e in edges]), np.array([e[2] for e in edges])
-    near = "d double, other string"
-    home = materialise(
-        blocks.groupBy("block").applyInPandas(
-            _inside(k, low, high),
-            f"vid string, found array<struct<{near}>>, bound double, visits array<int>",
-        ),
-        "home",
-    )
-    own = home.select("vid", F.inline("found").alias("d", "other"))
-    guests = blocks.join(home.select("vid", "bound", F.explode("visits").alias("host")), "vid").select(
-        F.col("block").alias("home"), "host", "vid", "x", "bound"
-    )
-    meetings = guests.select(F.col("home").alias("guest_block"), F.col("host").alias("host_block")).distinct()
-    hosts = blocks.select(
-        F.col("block").alias("host_block"), F.col("vid").alias("host_vid"), F.col("x").alias("host_x")
-    ).join(meetings, "host_block")
-    hosts = hosts.groupBy("guest_block", "host_block")
-    visited = guests.groupBy("home", "host").cogroup(hosts).applyInPandas(
-        _visiting(k), f"vid string, {near}"
-    )
-    every = own.unionByName(visited)
-    place = F.row_number().over(W.partitionBy("vid").orderBy("d", "other"))
-    return every.withColumn("place", place).where(F.col("place") <= k).select(
-        "vid", "place", F.col("d").alias("d2"), "other"
-    )
+    placed, nodes = cells(points, dimensions, block_rows)
+    home = materialise(placed.groupBy("cell").applyInPandas(
+        _inside(k), "vid string, d array<double>, other array<string>, bound double"
+    ), "home")
+    found = home.select("vid", F.inline(F.arrays_zip("d", "other")))
+    bounds = home.select("vid", "bound")
+    if nodes.where(~F.col("leaf")).isEmpty():
+        return _best(found, k).select("vid", "place", F.col("d").alias("d2"), "other")
+    leaves = nodes.where("leaf").select(F.col("node").alias("home"), "low", "high")
+    reach = placed.join(bounds, "vid").groupBy(F.col("cell").alias("home")).agg(F.max("bound").alias("reach"))
+    ranked = materialise(_reachable(leaves.join(reach, "home"), nodes, dimensions).withColumn(
+        "turn", F.row_number().over(W.partitionBy("home").orderBy("gap", "host"))
+    ), "meetings")
+    for near in (True, False):
+        turn = F.col("turn") <= NEAREST_CELLS
+        more = _visit(placed, bounds, ranked.where(turn if near else ~turn), nodes, dimensions, k)
+        found = materialise(_best(found.unionByName(more), k), "found")
+        bounds = found.groupBy("vid").agg(
+            F.when(F.count(F.lit(1)) == k, F.max("d")).otherwise(float("inf")).alias("bound")
+        )
+        found = found.select("vid", "d", "other") if near else found
+    return found.select("vid", "place", F.col("d").alias("d2"), "other")
+
+
+def visited_share(points: DataFrame, dimensions: int, k: int, block_rows: int) -> float:
+    """The share of all pairs of other cells that any point of a cell can need, after its home cell is searched."""
+    placed, nodes = cells(points, dimensions, block_rows)
+    home = placed.groupBy("cell").applyInPandas(_inside(k), "vid string, d array<double>, other array<string>, bound double")
+    reach = placed.join(home, "vid").groupBy(F.col("cell").alias("home")).agg(F.max("bound").alias("reach"))
+    leaves = nodes.where("leaf").select(F.col("node").alias("home"), "low", "high")
+    n = leaves.count()
+    return _reachable(leaves.join(reach, "home"), nodes, dimensions).count() / max(n * (n - 1), 1)

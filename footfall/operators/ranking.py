@@ -15,15 +15,13 @@ from footfall.session import materialise
 def min_rank_desc(df: DataFrame, value: str, name: str) -> DataFrame:
     """Descending rank of a count, ties sharing the lowest rank; NULL where the count is 0.
 
-    Rows are grouped to distinct counts, ranked there and joined back. Distinct counts are few: V
-    counted rows can make at most sqrt(2 V) of them (4.5 million for ten trillion rows), which bounds
-    both the one-task window and the broadcast; and the broadcast spares the join its hottest key, the
-    count 1.
+    Rows are grouped to distinct counts, which are placed by running totals over written slices and joined
+    back. Adaptive execution broadcasts the places where they are few and splits the hottest count where not.
     """
     sizes = df.where(F.col(value) > 0).groupBy(F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-    above = W.orderBy(F.desc("_value")).rowsBetween(W.unboundedPreceding, -1)
-    ranks = sizes.select("_value", (F.coalesce(F.sum("_n").over(above), F.lit(0)) + 1).alias(name))
-    return df.join(F.broadcast(ranks), F.col(value) == F.col("_value"), "left").drop("_value")
+    totals = running_totals(sizes, ["_value"], ["_n"], descending=True)
+    ranks = totals.select("_value", (F.col("cum__n") - F.col("_n") + 1).alias(name))
+    return df.join(ranks, F.col(value) == F.col("_value"), "left").drop("_value")
 
 
 def _bucketed(df: DataFrame, seed: object, keys: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -33,11 +34,14 @@ def build_session(app: str = "footfall", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Where intermediate tables go: the cluster's checkpoint folder.
 
-    Only where the session names none (local tests) is a temporary folder made, once per application.
+    Only where the session names none and runs in one process (local tests) is a temporary folder made, once per
+    application. On a cluster every machine would write to a disk of its own, so there a folder must be named.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("on a cluster, name a folder all machines share in spark.checkpoint.dir")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="footfall-"))
         folder = context.getCheckpointDir()
     elif context.getCheckpointDir() is None:
@@ -45,8 +49,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The application's own folder in the shared one."""
+    return f"{shared_folder(spark).rstrip('/')}/footfall-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete what this application has written to its folder. Tables it handed out can't be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:

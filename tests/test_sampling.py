@@ -75,11 +75,14 @@ def test_take_is_exact(population):
         assert took == min(n, NEGATIVES + POSITIVES)
 
 
-def test_negative_sample_is_capped_and_reported(spark, population):
+def test_too_few_negatives_fail_unless_allowed(spark, population):
     few = population.where("label = 1 or user_id < 800")
-    assert _counts(assemble.sample_negatives(few, 10)) == {0: 85, 1: POSITIVES}
+    with pytest.raises(Exception, match="negatives wanted: 7150, available: 85"):
+        assemble.sample_negatives(few, 10).collect()
+    assert _counts(assemble.sample_negatives(few, 10, allow_fewer=True)) == {0: 85, 1: POSITIVES}
     report = assemble.sampling_report(few).first()
     assert (report.wanted, report.available, report.taken) == (7150, 85, 85)
+    assert _counts(assemble.sample_negatives(population, 5)) == {0: 5 * POSITIVES, 1: POSITIVES}
 
 
 def test_split_sizes_match_the_published_ones(spark):
@@ -140,6 +143,29 @@ def test_neighbours_of_few_points(spark):
     assert {(r.vid, r.other) for r in neighbours.nearest(points, 1, 5).collect()} == {("a", "b"), ("b", "a")}
 
 
+def test_neighbours_with_many_dimensions_and_ties(spark):
+    """Whole numbers in six dimensions: equal distances everywhere, cells cut along several of them."""
+    rng = random.Random(4)
+    rows = [(f"p{i:03d}", [float(rng.randint(0, 3)) for _ in range(5)] + [float(i)], 1) for i in range(400)]
+    points = spark.createDataFrame(rows, "vid string, x array<double>, copies long")
+    have = {v: [] for v, _, _ in rows}
+    for r in sorted(neighbours.nearest(points, 6, 4, 20).collect(), key=lambda r: r.place):
+        have[r.vid].append((r.d2, r.other))
+    assert have == _brute(rows, 4)
+
+
+def test_visited_share_falls_as_rows_grow(spark):
+    """More points lie closer together: a cell meets a smaller share of the others."""
+    rng = np.random.default_rng(5)
+
+    def share(n):
+        rows = [(f"p{i}", [float(v) for v in rng.random(3)], 1) for i in range(n)]
+        return neighbours.visited_share(spark.createDataFrame(rows, "vid string, x array<double>, copies long"), 3, 5, 16)
+
+    few, many = share(256), share(4096)
+    assert many < 0.5 * few
+
+
 def test_copies_are_their_own_neighbours(spark):
     """A third of the points are copies of one: they cost one row, and interpolate to themselves."""
     rows = [(i, 0, 0, 1, 5.0 if i < 20 else float(i), 1.0) for i in range(60)]
