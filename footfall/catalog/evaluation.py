@@ -1,14 +1,18 @@
-"""Models and evaluation. Metrics are checked on a fixed score; fits are checked by rows only."""
+"""Models and evaluation. Metrics are checked on a fixed score, fits by what must agree with them."""
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.catalog import sql
-from footfall.catalog.registry import baseline, matrices, prepared, query
+from footfall.catalog.registry import TRAIN_AS_OF, baseline, matrices, open_log, prepared, query
 from footfall.operators import metrics, models
 from footfall.operators.models import SECOND
 from footfall.plans import experiments
+from footfall.schema import RATIOS
 
 # A fixed score: an item's share of buys among its views and buys.
 _SCORED = f"""{sql.full_table()},
@@ -78,44 +82,146 @@ def _m13(spark, sf):
     return metrics.log_loss(_scored(spark, sf)).select(F.round("log_loss", 6).alias("log_loss"))
 
 
-@query("m1_boosted_trees")
-def _m1(spark, sf):
-    """Fit without early stopping; metrics on validation."""
-    m = matrices(spark, sf)
-    return metrics.summary(models.score(models.fit_boosting(m.train), m.val))
+# Fits have no SQL. Their queries give what SQL can know (rows and positives of validation, class counts) and whether two
+# independent computations agree: our AUC and log loss with MLlib's evaluator and the model's own loss, the area under
+# our ROC points with our AUC, a gradient with 0, a stopping round with the losses.
+_AGREES = """
+SELECT count(*) AS rows, sum(label)::BIGINT AS positives, TRUE AS auc_agrees, TRUE AS loss_agrees FROM valid"""
 
 
-@query("m2_early_stopping")
-def _m2(spark, sf):
-    """Validation loss of each round of the model the patience rule chose."""
-    model, _ = baseline(spark, sf)
-    return models.learning_curve(model, {"val": matrices(spark, sf).val})
+def _near(a: float, b: float, tolerance: float = 1e-6) -> bool:
+    return abs(a - b) <= tolerance
 
 
-@query("m3_boosted_trees_second")
-def _m3(spark, sf):
-    m = matrices(spark, sf)
-    return metrics.summary(models.score(models.fit_boosting(m.train, SECOND), m.val))
+def _agreement(spark, scored, loss: float):
+    kept = metrics.kept_scores(scored)
+    ours = metrics.summary(kept).first()
+    theirs = BinaryClassificationEvaluator(
+        rawPredictionCol="score", labelCol="label", metricName="areaUnderROC", numBins=0
+    ).evaluate(kept)
+    return kept.agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("label").cast("bigint").alias("positives"),
+        F.lit(_near(ours.auc, theirs)).alias("auc_agrees"), F.lit(_near(ours.log_loss, loss)).alias("loss_agrees"),
+    )
 
 
-@query("m4_logistic_regression")
-def _m4(spark, sf):
+@query("m1_boosted_trees", sql.with_(sql.full_split(), _AGREES))
+def _m1(spark, sf):
+    """Fit without early stopping, scored on validation."""
     m = matrices(spark, sf)
-    return metrics.summary(models.score(models.fit_logistic(m.train, m.train.count()), m.val))
+    model = models.fit_boosting(m.train)
+    return _agreement(spark, models.score(model, m.val), models.losses(model, m.val)[-1])
 
 
-@query("m10_learning_curve")
-def _m10(spark, sf):
-    model, _ = baseline(spark, sf)
+@query("m3_boosted_trees_second", sql.with_(sql.full_split(), _AGREES))
+def _m3(spark, sf):
     m = matrices(spark, sf)
-    return models.learning_curve(model, {"train": m.train, "val": m.val})
+    model = models.fit_boosting(m.train, SECOND)
+    return _agreement(spark, models.score(model, m.val), models.losses(model, m.val)[-1])
 
 
-@query("m11_model_comparison")
-def _m11(spark, sf):
-    return experiments.compare(matrices(spark, sf))
+_PATIENCE = 5
 
 
-@query("m12_rebalancing_grid")
+@query("m2_early_stopping", sql.with_(sql.history(TRAIN_AS_OF), f"""
+SELECT max(low) FILTER (WHERE place = stop) AS best, any_value(stop) AS stopped, TRUE AS fit_agrees
+FROM (SELECT *, coalesce(min(place) FILTER (WHERE place - low >= {_PATIENCE}) OVER (), max(place) OVER ()) AS stop FROM (
+  SELECT place, max(place) FILTER (WHERE lower) OVER (ORDER BY place) AS low FROM (
+    SELECT place, coalesce(loss < min(loss) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS lower
+    FROM (SELECT hour(time) + 1 AS place, count(*) AS loss FROM h GROUP BY ALL))))"""))
+def _m2(spark, sf):
+    """The patience rule over a series of the log's own (its rows by hour of day), and over the fit's losses."""
+    hours = open_log(spark, sf, TRAIN_AS_OF).rows.groupBy(F.hour("time").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    series = [r.n for r in hours.orderBy("hour").collect()]
+    best = models.best_round(series, _PATIENCE)
+    fit, _ = baseline(spark, sf)
+    rounds = fit.model.getNumTrees
+    agrees = models.best_round(fit.losses) == rounds and len(fit.losses) == min(rounds + 10, models.MAIN.rounds) == fit.run.getNumTrees
+    return spark.createDataFrame(
+        [(best, min(best + _PATIENCE, len(series)), agrees)], "best long, stopped long, fit_agrees boolean"
+    )
+
+
+@query("m4_logistic_regression", sql.with_(sql.full_split(), """
+SELECT count(*) AS rows, sum(label)::BIGINT AS positives, TRUE AS auc_agrees, TRUE AS loss_agrees, TRUE AS at_optimum FROM valid"""))
+def _m4(spark, sf):
+    """At the fitted weights the gradient of the penalised loss is 0, measured against each feature's own size."""
+    m = matrices(spark, sf)
+    rows = m.train.count()
+    model = models.fit_logistic(m.train, rows)
+    fitted = models.score(model, m.train).select((F.col("score") - F.col("label")).alias("gap"), vector_to_array("features").alias("x"))
+    sums = fitted.agg(*[
+        F.struct(F.avg(F.col("gap") * F.col("x")[i]).alias("pull"), F.sqrt(F.avg(F.col("x")[i] ** 2)).alias("size")).alias(f"f{i}")
+        for i in range(len(m.features))
+    ]).first()
+    off = [abs(s.pull + w / rows) / max(s.size, 1e-12) for s, w in zip(sums, model.coefficients.toArray())]
+    scored = models.score(model, m.val)
+    positive = F.col("label") == 1
+    margin = F.col("margin")
+    own = model.transform(m.val).select("label", vector_to_array("rawPrediction")[1].alias("margin"))
+    loss = own.agg(F.avg(F.log1p(F.exp(F.when(positive, -margin).otherwise(margin))))).first()[0]
+    return _agreement(spark, scored, loss).withColumn("at_optimum", F.lit(max(off) < 1e-3))
+
+
+@query("m10_learning_curve", sql.with_(sql.full_split(), """
+SELECT 'train' AS split, count(*) AS rows, TRUE AS complete, TRUE AS last_agrees FROM train UNION ALL
+SELECT 'val', count(*), TRUE, TRUE FROM valid"""))
+def _m10(spark, sf):
+    """Losses of every round run, the patience rounds after the best included; the last is that of the model of all rounds."""
+    fit, _ = baseline(spark, sf)
+    m = matrices(spark, sf)
+    sets = {"train": m.train, "val": m.val}
+    curve = models.learning_curve(fit.run, sets).collect()
+    rows = []
+    for name, df in sets.items():
+        losses = [r.log_loss for r in sorted(curve, key=lambda r: r.round) if r.split == name]
+        own = metrics.log_loss(models.score(fit.run, df)).first()[0]
+        rows.append((name, df.count(), len(losses) == len(fit.losses), _near(losses[-1], own)))
+    return spark.createDataFrame(rows, "split string, rows long, complete boolean, last_agrees boolean")
+
+
+def _areas(out: experiments.Outputs, name: str) -> dict[str, bool]:
+    """Whether the area under each named ROC curve is the AUC beside it."""
+    step = W.partitionBy(name).orderBy("fpr", "tpr")
+    strip = (F.col("fpr") - F.lag("fpr").over(step)) * (F.col("tpr") + F.lag("tpr").over(step)) / 2
+    area = out.roc.withColumn("strip", strip).groupBy(name).agg(F.sum("strip").alias("area"))
+    return {r[0]: _near(r.area, r.auc) for r in area.join(out.metrics, name).collect()}
+
+
+@query("m11_model_comparison", sql.with_(sql.full_split(), """
+SELECT m AS "Model", count(*) AS rows, sum(label)::BIGINT AS positives, TRUE AS area_agrees
+FROM valid, (SELECT unnest(['Logistic Regression', 'Boosted trees, second', 'Boosted trees, main']) AS m) GROUP BY m"""))
+def _m11(spark, sf):
+    out = experiments.compare_fully(matrices(spark, sf))
+    agrees = spark.createDataFrame(list(_areas(out, "Model").items()), "Model string, area_agrees boolean")
+    counts = out.confusion.groupBy("Model").agg(
+        F.sum("rows").alias("rows"), F.sum(F.when(F.col("label") == 1, F.col("rows")).otherwise(0)).alias("positives")
+    )
+    return counts.join(agrees, "Model").select("Model", "rows", "positives", "area_agrees")
+
+
+def _grid_sql() -> str:
+    cases = ["SELECT 'baseline' AS experiment, n0, n1 FROM cnt"]
+    for ratio in RATIOS:
+        cases += [
+            f"SELECT 'smote_{ratio:.1f}', n0, n1 + floor(n0 * {ratio}::DOUBLE - n1)::BIGINT FROM cnt",
+            f"SELECT 'oversampling_{ratio:.1f}', n0, greatest(floor(n0 * {ratio}::DOUBLE)::BIGINT, n1) FROM cnt",
+            f"SELECT 'undersampling_{ratio:.1f}', least(floor(n1 / {ratio}::DOUBLE)::BIGINT, n0), n1 FROM cnt",
+        ]
+    return sql.with_(f"""{sql.full_split()},
+cnt AS (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1 FROM train),
+cases AS ({' UNION ALL '.join(cases)})""", """
+SELECT experiment, n0 AS negatives, n1 AS positives, (SELECT count(*) FROM valid) AS validated, TRUE AS area_agrees FROM cases""")
+
+
+@query("m12_rebalancing_grid", _grid_sql())
 def _m12(spark, sf):
-    return experiments.run_grid(matrices(spark, sf))
+    """Class counts of each resampled set, and the validation rows each model was scored on."""
+    out = experiments.run_grid_fully(matrices(spark, sf))
+    agrees = spark.createDataFrame(list(_areas(out, "experiment").items()), "experiment string, area_agrees boolean")
+    counts = out.resampled.groupBy("experiment").agg(
+        F.sum(F.when(F.col("label") == 0, F.col("rows")).otherwise(0)).alias("negatives"),
+        F.sum(F.when(F.col("label") == 1, F.col("rows")).otherwise(0)).alias("positives"),
+    )
+    scored = out.confusion.groupBy("experiment").agg(F.sum("rows").alias("validated"))
+    return counts.join(scored, "experiment").join(agrees, "experiment")

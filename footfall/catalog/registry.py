@@ -99,7 +99,7 @@ def matrices(spark: SparkSession, sf_dir: str) -> experiments.Matrices:
 
 
 def baseline(spark: SparkSession, sf_dir: str):
-    """(model, scored validation set) of the baseline fit, fitted once."""
+    """(fit with early stopping, scored validation set) of the baseline, fitted once."""
 
     def build():
         m = matrices(spark, sf_dir)

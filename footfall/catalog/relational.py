@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.catalog import sql
-from footfall.catalog.registry import AS_OF, TRAIN_AS_OF, log, open_log, prepared, query
+from footfall.catalog.registry import AS_OF, TRAIN_AS_OF, log, matrices, open_log, prepared, query
 from footfall.functions import hashing
 from footfall.operators import assemble, features, history, joins, models, ranking, rollup, selection, variants
 from footfall.operators.rollup import of_type
@@ -88,13 +88,12 @@ def _s8(spark, sf):
 @query("s9_save_and_load_model", sql.with_(sql.full_split(), "SELECT count(*) AS rows, 0.0::DOUBLE AS gap FROM valid"))
 def _s9(spark, sf):
     """Scores of a model and of the same model read back: the largest gap is 0."""
-    parts = prepared(spark, sf).splits
-    columns = ["uv", "total_pv_x", "cart_count_x", "total_views", "total_cart"]
-    model = models.fit_logistic(models.vectors(parts.train, columns), parts.train.count(), iterations=50)
+    m = matrices(spark, sf)
+    model = models.fit_logistic(m.train, m.train.count())
     path = scratch_path(spark, "model")
     tables.save_model(model, path)
     again = tables.load_model(LogisticRegressionModel, path)
-    val = models.vectors(parts.val, columns).select(*assemble.ROW, "label", "features")
+    val = m.val.select(*assemble.ROW, "label", "features")
     a = models.score(model, val).select(*assemble.ROW, F.col("score").alias("a"))
     b = models.score(again, val).select(*assemble.ROW, F.col("score").alias("b"))
     return a.join(b, assemble.ROW).agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("gap"))

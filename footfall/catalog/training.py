@@ -11,9 +11,10 @@ from footfall.catalog.registry import (
     AS_OF, LABEL_DAYS, TRAIN_AS_OF, TRAIN_DAYS, add, baseline, build_training_table, label_log, log, matrices,
     open_log, prepared, query, table,
 )
-from footfall.operators import assemble, features, rebalance, selection, split
+from footfall.functions.timeparts import naive
+from footfall.operators import assemble, features, models, rebalance, selection, split
 from footfall.plans import pipeline
-from footfall.schema import LEAKY_SELECTED, RATIOS, SEED
+from footfall.schema import ITEM_FEATURES, LEAKY_SELECTED, RATIOS, SEED
 
 # --- Candidates, labels, sample, table --------------------------------------------------------------
 
@@ -67,9 +68,9 @@ def _b6(spark, sf):
 # --- Splits -----------------------------------------------------------------------------------------
 
 
-@query("d1_stratified_split", sql.with_(sql.full_split(), f"SELECT {_ROWS}, label, split FROM cut"))
+@query("d1_stratified_split", sql.with_(sql.full_split(), "SELECT * FROM cut"))
 def _d1(spark, sf):
-    return split.stratified_split(prepared(spark, sf).table.select(*assemble.ROW, "label"))
+    return split.stratified_split(prepared(spark, sf).table)
 
 
 @query("d1_split_sizes", sql.with_(f"{sql.full_table()},\n{sql.split_sizes()}", "SELECT * FROM sizes"))
@@ -111,16 +112,12 @@ def _long(source: str, columns: list[str], value: str, name: str) -> str:
     return f"SELECT unnest([{names}]) AS feature, unnest([{values}]) AS {name} FROM {source}"
 
 
-_ITEM_COLUMNS = ["total_pv", "last3day_pv", "last7day_pv", "items_pv_ranking", "cart_count", "favorite_count",
-                 "buy_count", "uv", "buy_recency_hours", "peak_view_hour", "peak_buy_hour"]
-
-
 @query("f1_missing_ratio", sql.with_(
     f"{sql.history()},\n{sql.items()}",
-    _long("item_f", _ITEM_COLUMNS, "round(avg(({c} IS NULL)::INT), 6)", "missing_ratio")))
+    _long("item_f", ITEM_FEATURES, "round(avg(({c} IS NULL)::INT), 6)", "missing_ratio")))
 def _f1(spark, sf):
-    items = features.item_features(open_log(spark, sf), _ITEM_COLUMNS)
-    ratio = selection.missing_ratio(items, _ITEM_COLUMNS)
+    items = features.item_features(open_log(spark, sf), ITEM_FEATURES)
+    ratio = selection.missing_ratio(items, ITEM_FEATURES)
     return ratio.withColumn("missing_ratio", F.round("missing_ratio", 6))
 
 
@@ -191,24 +188,43 @@ WHERE e.ts >= {sql.stamp(TRAIN_AS_OF)}""")
 def _f6(spark, sf):
     """Event names coded by those seen before the cutoff, applied to later events."""
     events = table(spark, sf, "events").select("event_id", "ts", "event_type")
-    seen, later = events.where(F.col("ts") < F.lit(TRAIN_AS_OF)), events.where(F.col("ts") >= F.lit(TRAIN_AS_OF))
+    early = F.col("ts") < naive(TRAIN_AS_OF)
+    seen, later = events.where(early), events.where(~early)
     return selection.encode(seen, later, "event_type").select("event_id", F.col("event_type").cast("bigint"))
 
 
-@query("f7_importance_gain")
+_TREES = """
+SELECT 1.0::DOUBLE AS total, TRUE AS whole, count(*) AS least_rows, count(*) AS most_rows FROM train"""
+
+
+def _trees_agree(spark, sf, kind: str, total):
+    """The listed importances against the fitted trees' own nodes; each tree's root holds all rows of train."""
+    fit, _ = baseline(spark, sf)
+    listed = selection.importance(fit.model, matrices(spark, sf).features, kind)
+    nodes = models.tree_nodes(fit.model)
+    inner, leaves = F.count_if(F.col("leftChild") >= 0), F.count_if(F.col("leftChild") < 0)
+    # a binary tree has one leaf more than it has splits
+    grown = nodes.groupBy("tree").agg(inner.alias("splits"), leaves.alias("leaves"))
+    kept = grown.agg(F.sum("splits").alias("splits"), F.bool_and(F.col("leaves") == F.col("splits") + 1).alias("whole"))
+    roots = nodes.where("id = 0").agg(F.min("rawCount").alias("least_rows"), F.max("rawCount").alias("most_rows"))
+    return roots.select(
+        F.round(listed.agg(F.sum("importance")).scalar() / total(kept), 6).alias("total"),
+        kept.select("whole").scalar().alias("whole"), "least_rows", "most_rows",
+    )
+
+
+@query("f7_importance_gain", sql.with_(sql.full_split(), _TREES))
 def _f7(spark, sf):
-    model, _ = baseline(spark, sf)
-    return selection.importance(model, matrices(spark, sf).features)
+    return _trees_agree(spark, sf, "gain", lambda kept: F.lit(1.0))
 
 
-@query("f7_importance_splits")
+@query("f7_importance_splits", sql.with_(sql.full_split(), _TREES))
 def _f7_splits(spark, sf):
-    model, _ = baseline(spark, sf)
-    return selection.importance(model, matrices(spark, sf).features, "split")
+    return _trees_agree(spark, sf, "split", lambda kept: kept.select("splits").scalar())
 
 
 _SHARES = f"""{sql.full_split()},
-imp AS ({_long('train', _INPUTS, 'round(var_pop({c}::DOUBLE), 4)', 'importance')}),
+imp AS ({_long('train', _INPUTS, 'round(ln(1 + var_pop({c}::DOUBLE)), 4)', 'importance')}),
 run AS (SELECT feature, importance, sum(importance) OVER (ORDER BY importance DESC, feature)
   / sum(importance) OVER () AS share, row_number() OVER (ORDER BY importance DESC, feature) AS place FROM imp)"""
 
@@ -216,21 +232,53 @@ run AS (SELECT feature, importance, sum(importance) OVER (ORDER BY importance DE
 def _as_importance(spark, sf):
     train = prepared(spark, sf).splits.train
     return selection.variances(train, selection.inputs(train)).select(
-        "feature", F.round("variance", 4).alias("importance")
+        "feature", F.round(F.log(F.col("variance") + 1), 4).alias("importance")
     )
 
 
-@query("f8_select_by_share", sql.with_(_SHARES, "SELECT feature FROM run WHERE share <= 0.9999 OR place = 1"))
+@query("f8_select_by_share", sql.with_(_SHARES, "SELECT feature FROM run WHERE share <= 0.95 OR place = 1"))
 def _f8(spark, sf):
-    """Variances stand in for importances, so that SQL can check the cut; a high share keeps several."""
-    return selection.select_by_share(_as_importance(spark, sf), 0.9999).select("feature")
+    """Logarithms of variances stand in for importances, so that SQL can check the cut."""
+    return selection.select_by_share(_as_importance(spark, sf)).select("feature")
+
+
+_PERMUTED = f"""{sql.full_split()},
+v AS (SELECT user_id, item_id, item_category, label, uv::DOUBLE AS x0, total_pv_x::DOUBLE AS x1 FROM valid),
+own AS (SELECT *, row_number() OVER (ORDER BY {sql.order_by(SEED, *sql.ROW)}) AS place FROM v),
+other AS (SELECT repeat, x0 AS z0, x1 AS z1, row_number() OVER (
+    PARTITION BY repeat ORDER BY {sql.order_by(f'{SEED}-partner', 'repeat', *sql.ROW)}) AS place
+  FROM v, (SELECT unnest(range(1, 6)) AS repeat)),
+mixed AS (SELECT label, repeat, f, CASE WHEN f = 0 THEN z0 ELSE x0 END AS a, CASE WHEN f = 1 THEN z1 ELSE x1 END AS b
+  FROM own JOIN other USING (place), (SELECT unnest(range(2)) AS f)
+  UNION ALL SELECT label, 0, -1, x0, x1 FROM v),
+priced AS (SELECT f, repeat, avg(-ln(CASE WHEN label = 1 THEN p ELSE 1 - p END)) AS loss FROM (
+  SELECT *, least(greatest(a / (a + b + 1), 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS p FROM mixed)
+  GROUP BY f, repeat)"""
+
+
+@query("f9_permutation_importance", sql.with_(_PERMUTED, """
+SELECT CASE p.f WHEN 0 THEN 'uv' ELSE 'total_pv_x' END AS feature, round(avg(p.loss - b.loss), 6) AS importance_mean,
+  round(stddev_pop(p.loss - b.loss), 6) AS importance_std
+FROM priced p, (SELECT loss FROM priced WHERE f = -1) b WHERE p.f >= 0 GROUP BY p.f"""))
+def _f9(spark, sf):
+    """A closed-form score takes the model's place, so that SQL can repeat the permutations."""
+    val = prepared(spark, sf).splits.val
+    table = selection.permutation_importance(
+        None, val, ["uv", "total_pv_x"], assemble.ROW, scorer=lambda x: x[0] / (x[0] + x[1] + F.lit(1.0))
+    )
+    return table.select("feature", *[F.round(c, 6).alias(c) for c in ("importance_mean", "importance_std")])
 
 
-@query("f9_permutation_importance")
-def _f9(spark, sf):
-    model, _ = baseline(spark, sf)
+@query("f9_permutation_importance_of_the_model", sql.with_(sql.full_split(), "SELECT count(*) AS rows, TRUE AS finite FROM valid"))
+def _f9_model(spark, sf):
+    """The same with the fitted model: every chosen feature has a finite importance."""
+    fit, _ = baseline(spark, sf)
     m = matrices(spark, sf)
-    return selection.permutation_importance(model, m.val.drop("features"), m.features, assemble.ROW)
+    found = selection.permutation_importance(fit.model, m.val.drop("features"), m.features, assemble.ROW)
+    finite = F.abs("importance_mean") < float("inf")
+    return m.val.agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", found.agg((F.bool_and(finite) & (F.count(F.lit(1)) == len(m.features)))).scalar().alias("finite")
+    )
 
 
 @query("f10_drop_leaky", sql.with_(sql.full_split(), "SELECT {} FROM train".format(
@@ -253,11 +301,11 @@ def _f11(spark, sf):
 
 _COUNTS = """cnt AS (SELECT count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1
   FROM train)"""
-_NARROW = "user_id, item_id, item_category, label, uv, total_behavior"
+_WHOLE = ", ".join([*sql.ROW, "label", *sql.feature_columns()])
 
 
-def _narrow(spark, sf):
-    return prepared(spark, sf).splits.train.select(*[c.strip() for c in _NARROW.split(",")])
+def _train(spark, sf):
+    return prepared(spark, sf).splits.train
 
 
 def _draw(n: str, *parts: str) -> str:
@@ -274,27 +322,27 @@ def _register_ratios() -> None:
         shown = f"{ratio:.1f}".replace(".", "_")
         add(
             f"r2_oversample_{shown}",
-            lambda spark, sf, ratio=ratio: rebalance.oversample(_narrow(spark, sf), ratio),
+            lambda spark, sf, ratio=ratio: rebalance.oversample(_train(spark, sf), ratio),
             sql.with_(f"""{sql.full_split()},
 {_COUNTS},
-{_ranked(_NARROW)},
+{_ranked(_WHOLE)},
 draws AS (SELECT unnest(range(greatest(floor(n0 * {ratio}::DOUBLE)::BIGINT - n1, 0))) AS draw, n1 FROM cnt)""", f"""
-SELECT {_NARROW} FROM train UNION ALL
-SELECT {_NARROW} FROM draws JOIN pos ON r = {_draw('n1', f"'{SEED}'", "'over'", 'draw')} + 1"""),
+SELECT {_WHOLE} FROM train UNION ALL
+SELECT {_WHOLE} FROM draws JOIN pos ON r = {_draw('n1', f"'{SEED}'", "'over'", 'draw')} + 1"""),
         )
         add(
             f"r3_undersample_{shown}",
-            lambda spark, sf, ratio=ratio: rebalance.undersample(_narrow(spark, sf), ratio),
+            lambda spark, sf, ratio=ratio: rebalance.undersample(_train(spark, sf), ratio),
             sql.with_(f"""{sql.full_split()},
 {_COUNTS},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {sql.order_by(SEED, *sql.ROW)}) AS r FROM train)""", f"""
-SELECT {_NARROW} FROM ranked, cnt WHERE label = 1 OR r <= floor(n1 / {ratio}::DOUBLE)"""),
+SELECT {_WHOLE} FROM ranked, cnt WHERE label = 1 OR r <= floor(n1 / {ratio}::DOUBLE)"""),
         )
 
 
 _register_ratios()
 
-_POINT = ["total_behavior", "total_views", "uv", "total_pv_x", "cart_count_x"]
+_POINT = _INPUTS
 _K = 5
 
 
@@ -333,7 +381,7 @@ _register_smote()
 
 
 @query("r4_hard_negatives", sql.with_(f"{sql.full_split()},\n{_COUNTS}", f"""
-SELECT {_NARROW} FROM train x WHERE label = 1 OR EXISTS (
+SELECT {_WHOLE} FROM train x WHERE label = 1 OR EXISTS (
   SELECT 1 FROM h WHERE h.user_id = x.user_id AND h.item_id = x.item_id AND behavior_type IN (2, 3))"""))
 def _r4(spark, sf):
-    return rebalance.hard_negatives(_narrow(spark, sf), log(spark, sf, TRAIN_AS_OF), TRAIN_AS_OF)
+    return rebalance.hard_negatives(_train(spark, sf), log(spark, sf, TRAIN_AS_OF), TRAIN_AS_OF)

@@ -40,13 +40,13 @@ def precision_recall(scored: DataFrame) -> DataFrame:
     return scored.agg(*_class_rates())
 
 
-def _mean_loss() -> Column:
+def mean_loss() -> Column:
     p = F.least(F.greatest(F.col("score"), F.lit(CLIP)), F.lit(1 - CLIP))
     return F.avg(F.when(F.col("label") == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))).alias("log_loss")
 
 
 def log_loss(scored: DataFrame) -> DataFrame:
-    return scored.agg(_mean_loss())
+    return scored.agg(mean_loss())
 
 
 def by_score(scored: DataFrame) -> DataFrame:
@@ -122,6 +122,6 @@ def kept_scores(scored: DataFrame) -> DataFrame:
 def summary(scored: DataFrame) -> DataFrame:
     """One row: precision, recall, f1, auc, log_loss. Writes the scores and their curve while it is built."""
     kept = kept_scores(scored)
-    return kept.agg(*_class_rates(), _mean_loss()).select(
+    return kept.agg(*_class_rates(), mean_loss()).select(
         "precision", "recall", "f1", auc(kept).scalar().alias("auc"), "log_loss"
     )

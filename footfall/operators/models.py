@@ -16,12 +16,13 @@ from footfall.session import scratch_path
 
 @dataclass(frozen=True)
 class Boosting:
-    """Level-wise trees: depth 5 gives at most 32 leaves."""
+    """Level-wise trees: depth 5 gives at most 32 leaves; ``bins`` are the cut points tried per feature."""
 
     depth: int = 5
     step: float = 0.1
     rounds: int = 100
     min_rows: int = 20
+    bins: int = 255
     seed: int = SEED
 
 
@@ -46,7 +47,7 @@ def fit_boosting(train: DataFrame, config: Boosting = MAIN) -> GBTClassification
     """``train`` holds ``label`` and ``features``."""
     learner = GBTClassifier(
         maxDepth=config.depth, stepSize=config.step, maxIter=config.rounds,
-        minInstancesPerNode=config.min_rows, seed=config.seed, cacheNodeIds=False,
+        minInstancesPerNode=config.min_rows, maxBins=config.bins, seed=config.seed, cacheNodeIds=False,
     )
     return learner.fit(train.select("label", "features"))
 
@@ -67,23 +68,54 @@ def best_round(values: list[float], patience: int = 10) -> int:
     return at
 
 
-def fit_with_patience(
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first trees alone. Boosting adds trees one by one, so a shorter fit would give the same ones."""
+    if rounds >= model.getNumTrees:
+        return model
+    java, gateway = model._java_obj, session().sparkContext._gateway
+    ml = gateway.jvm.org.apache.spark.ml
+    trees = gateway.new_array(ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], weights[i] = java.trees()[i], model.treeWeights[i]
+    shorter = ml.classification.GBTClassificationModel(java.uid(), trees, weights)
+    return GBTClassificationModel(shorter)
+
+
+@dataclass(frozen=True)
+class Stopped:
+    """A fit under the patience rule: the model of the best round, that of all rounds run, and their losses."""
+
+    model: GBTClassificationModel
+    run: GBTClassificationModel
+    losses: list[float]
+
+
+def stop_early(
     train: DataFrame, val: DataFrame, config: Boosting = MAIN, patience: int = 10, first: int | None = None
-) -> GBTClassificationModel:
-    """The model of the best round on validation, found with a patience rule.
+) -> Stopped:
+    """Rounds up to ``patience`` after the best one on validation.
 
-    With one seed a shorter fit has the same first trees as a longer one. So a shorter fit (``first``
-    rounds, half of all unless given) is tried, and doubled only while the patience has not run out; then
-    the best number of rounds is fitted.
+    With one seed a shorter fit has the same first trees as a longer one. So a fit of twice the patience (``first`` rounds if
+    given) is tried, and doubled only while the patience has not run out; its first trees are the model.
     """
-    rounds = min(first or max(config.rounds // 2, 1), config.rounds)
+    rounds = min(first or 2 * patience, config.rounds)
     while True:
         model = fit_boosting(train, replace(config, rounds=rounds))
-        best = best_round(losses(model, val), patience)
+        values = losses(model, val)
+        best = best_round(values, patience)
         if rounds - best >= patience or rounds == config.rounds:
             break
         rounds = min(rounds * 2, config.rounds)
-    return model if best == rounds else fit_boosting(train, replace(config, rounds=best))
+    ran = min(best + patience, len(values))
+    return Stopped(first_rounds(model, best), first_rounds(model, ran), values[:ran])
+
+
+def fit_with_patience(
+    train: DataFrame, val: DataFrame, config: Boosting = MAIN, patience: int = 10, first: int | None = None
+) -> GBTClassificationModel:
+    """The model of the best round on validation, found with a patience rule."""
+    return stop_early(train, val, config, patience, first).model
 
 
 def learning_curve(model: GBTClassificationModel, sets: dict[str, DataFrame]) -> DataFrame:
@@ -110,11 +142,14 @@ def score(model, df: DataFrame) -> DataFrame:
     return out.withColumn("prediction", F.col("prediction").cast("int")).drop("rawPrediction", "probability")
 
 
-def split_counts(model: GBTClassificationModel) -> DataFrame:
-    """Splits on each feature index, read from the saved trees."""
-    spark = session()
-    path = scratch_path(spark, "trees")
+def tree_nodes(model: GBTClassificationModel) -> DataFrame:
+    """The nodes of all trees, read from the saved model: tree, and each node's id, children, split and rows."""
+    path = scratch_path(session(), "trees")
     model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("nodeData.*")
-    inner = nodes.where(F.col("leftChild") >= 0)
+    return session().read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+
+
+def split_counts(model: GBTClassificationModel) -> DataFrame:
+    """Splits on each feature index."""
+    inner = tree_nodes(model).where(F.col("leftChild") >= 0)
     return inner.groupBy(F.col("split.featureIndex").alias("index")).agg(F.count(F.lit(1)).alias("splits"))

@@ -90,6 +90,20 @@ def neighbour_lists(points: DataFrame, dimensions: int, k: int, block_rows: int)
     )
 
 
+def prepare_smote(
+    df: DataFrame, features: list[str], k: int = 5, seed: object = SEED, keys: list[str] | None = None,
+    block_rows: int = neighbours.BLOCK_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """The ranked positives and the neighbour lists of their points, written: what every ratio draws from."""
+    x, vid = _point(features)
+    ranked = ranking.seeded_rank(df.where(F.col("label") == 1), seed, keys or ROW, "_rank").select(
+        "_rank", x.alias("x"), vid.alias("vid")
+    )
+    ranked = materialise(ranked, "positives")
+    points = materialise(neighbours.distinct_points(ranked), "points")
+    return ranked, materialise(neighbour_lists(points, len(features), k, block_rows), "lists")
+
+
 def smote(
     df: DataFrame,
     features: list[str],
@@ -98,13 +112,13 @@ def smote(
     seed: object = SEED,
     keys: list[str] | None = None,
     block_rows: int = neighbours.BLOCK_ROWS,
+    prepared: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """(features, label): the set, plus points between a positive and one of its k nearest positives.
 
     The number added makes positives ``ratio`` of the negatives. Each draws a positive, a neighbour and
-    how far to go towards it.
+    how far to go towards it. Writes the neighbour lists while it is built, unless :func:`prepare_smote` has.
     """
-    keys = keys or ROW
     negatives, positives = class_counts(df)
     extra = int(negatives * ratio - positives)
     if extra < 0:
@@ -114,13 +128,7 @@ def smote(
     real = df.select(*[F.col(f).cast("double").alias(f) for f in features], "label")
     if extra == 0:
         return real
-    x, vid = _point(features)
-    ranked = ranking.seeded_rank(df.where(F.col("label") == 1), seed, keys, "_rank").select(
-        "_rank", x.alias("x"), vid.alias("vid")
-    )
-    ranked = materialise(ranked, "positives")
-    points = materialise(neighbours.distinct_points(ranked), "points")
-    lists = neighbour_lists(points, len(features), k, block_rows)
+    ranked, lists = prepared or prepare_smote(df, features, k, seed, keys, block_rows)
     pick = hashing.draw(F.lit(positives * k), seed, F.lit("pick"), "draw")
     draws = _draws(df, extra).select("draw", pick.alias("_pick")).select(
         (F.floor(F.col("_pick") / k) + 1).cast("bigint").alias("_rank"),

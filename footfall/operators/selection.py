@@ -6,10 +6,12 @@ whatever the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,16 +66,26 @@ def keep_informative(
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Absolute Pearson correlations above the diagonal as (i, j, col_i, col_j, corr), one pass."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="_v", handleInvalid="error").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    )
-    matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
-    rows = [
-        (i, j, columns[i], columns[j], abs(float(matrix[i, j])))
-        for i in range(len(columns))
-        for j in range(i + 1, len(columns))
-    ]
+    """Absolute Pearson correlations above the diagonal as (i, j, col_i, col_j, corr), one pass.
+
+    Columns without gaps go through one matrix. A pair with a gap in either column is correlated over the rows
+    that have both; NaN where that leaves no variance.
+    """
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    gaps = numbers.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    whole = [c for c in columns if not gaps[c]]
+    found: dict[tuple[str, str], float] = {}
+    if len(whole) > 1:
+        vectors = VectorAssembler(inputCols=whole, outputCol="_v", handleInvalid="error").transform(numbers)
+        matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
+        found = {(a, b): float(matrix[i, j]) for i, a in enumerate(whole) for j, b in enumerate(whole)}
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+    holed = [(i, j) for i, j in pairs if gaps[columns[i]] or gaps[columns[j]]]
+    for start in range(0, len(holed), 400):
+        part = holed[start : start + 400]
+        row = numbers.agg(*[F.corr(columns[i], columns[j]).alias(f"c{n}") for n, (i, j) in enumerate(part)]).first()
+        found.update({(columns[i], columns[j]): float("nan") if v is None else v for (i, j), v in zip(part, row)})
+    rows = [(i, j, columns[i], columns[j], abs(found[columns[i], columns[j]])) for i, j in pairs]
     return df.sparkSession.createDataFrame(rows, "i int, j int, col_i string, col_j string, corr double")
 
 
@@ -109,11 +121,16 @@ def encode(train: DataFrame, other: DataFrame, column: str) -> DataFrame:
     return joined.withColumn(column, F.coalesce(F.col("_code"), unseen.cast("bigint"))).drop("_code")
 
 
+def text_columns(df: DataFrame, columns: list[str]) -> list[str]:
+    return [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, T.StringType)]
+
+
 def importance(model, features: list[str], kind: str = "gain") -> DataFrame:
     """Importance per feature: total gain, or the number of splits on it."""
     spark = models.session()
     if kind == "gain":
         values = [float(v) for v in model.featureImportances.toArray()]
+        values += [0.0] * (len(features) - len(values))  # features behind the last one that is split on
         return spark.createDataFrame(list(zip(features, values)), "feature string, importance double")
     counts = models.split_counts(model)
     names = spark.createDataFrame(list(enumerate(features)), "index int, feature string")
@@ -146,10 +163,13 @@ def drop_leaky(features: list[str]) -> list[str]:
 
 
 def permutation_importance(
-    model, df: DataFrame, features: list[str], keys: list[str], repeats: int = 5, seed: object = SEED
+    model, df: DataFrame, features: list[str], keys: list[str], repeats: int = 5, seed: object = SEED,
+    scorer: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Rise of the log loss when one feature's values are permuted among the rows.
 
+    ``scorer`` may take the model's place: a score as a column of the array of feature values.
+
     A repeat has one permutation, used for every feature: rows are placed by two md5 orders and joined
     on the place. All features and repeats are scored in one job.
     """
@@ -163,12 +183,15 @@ def permutation_importance(
     index = F.explode(F.sequence(F.lit(0), F.lit(len(features) - 1))).alias("f")
     mixed = own.join(other, ["repeat", "place"]).select("label", "repeat", "x", "z", index)
     swapped = F.transform("x", lambda v, i: F.when(i == F.col("f"), F.col("z")[i]).otherwise(v))
-    rows = mixed.select("label", "repeat", "f", array_to_vector(swapped).alias("features"))
-    scored = models.score(model, rows)
-    p = F.least(F.greatest(F.col("score"), F.lit(metrics.CLIP)), F.lit(1 - metrics.CLIP))
-    loss = F.when(F.col("label") == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))
-    losses = scored.groupBy("f", "repeat").agg(F.avg(loss).alias("loss"))
-    base = metrics.log_loss(models.score(model, models.vectors(df, features))).first()[0]
+    rows = mixed.select("label", "repeat", "f", swapped.alias("x"))
+    if scorer is None:
+        def score(d: DataFrame) -> DataFrame:
+            return models.score(model, d.withColumn("features", array_to_vector("x")))
+    else:
+        def score(d: DataFrame) -> DataFrame:
+            return d.withColumn("score", scorer(F.col("x")))
+    losses = score(rows).groupBy("f", "repeat").agg(metrics.mean_loss().alias("loss"))
+    base = metrics.log_loss(score(data)).first()[0]
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("f") + 1)
     return losses.groupBy(names.alias("feature")).agg(
         F.avg(F.col("loss") - base).alias("importance_mean"),

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.operators import metrics, models, rebalance, selection
-from footfall.operators.models import MAIN, SECOND, Boosting
+from footfall.operators.models import MAIN, SECOND, Boosting, Stopped
 from footfall.plans.pipeline import Splits, first_two_steps
 from footfall.schema import RATIOS, SEED
-from footfall.session import materialise, materialise_all
+from footfall.session import materialise_all, scratch_path
+from footfall.sources import tables
 
 
 @dataclass(frozen=True)
@@ -31,17 +33,44 @@ def _vector_tables(parts: Splits, features: list[str]) -> list[DataFrame]:
     })
 
 
-def choose_features(parts: Splits, config: Boosting = MAIN, kind: str = "gain") -> list[str]:
-    """Filters, then the features carrying 95% of a first model's importance."""
+def encoded(parts: Splits, columns: list[str]) -> Splits:
+    """The parts with the text columns among ``columns`` replaced by codes of the values train holds."""
+    for column in selection.text_columns(parts.train, columns):
+        made = [selection.encode(parts.train, part, column) for part in (parts.train, parts.val, parts.test)]
+        parts = Splits(*made)
+    return parts
+
+
+def choose_features(parts: Splits, config: Boosting = MAIN, kind: str = "split") -> list[str]:
+    """Filters, then the features carrying 95% of a first model's importance (its splits, unless ``kind`` is gain)."""
     kept = first_two_steps(parts.train)
-    train, val = _vector_tables(parts, kept)
+    train, val = _vector_tables(encoded(parts, kept), kept)
     model = models.fit_with_patience(train, val, config)
     ranked = selection.select_by_share(selection.importance(model, kept, kind))
     return [r.feature for r in ranked.orderBy("place").collect()]
 
 
+@dataclass(frozen=True)
+class Selection:
+    """The chosen list after the leakage list, and the train and validation sets of it, saved."""
+
+    features: list[str]
+    folder: str
+
+
+def save_selection(parts: Splits, features: list[str], folder: str) -> Selection:
+    """Writes ``features.csv``, ``train.csv`` and ``val.csv`` under a folder, as CSV with a header."""
+    kept = selection.drop_leaky(features)
+    parts = encoded(parts, kept)
+    listed = parts.train.sparkSession.createDataFrame([(f,) for f in kept], "feature string")
+    tables.write_csv(listed, f"{folder}/features.csv")
+    for name, part in (("train", parts.train), ("val", parts.val)):
+        tables.write_csv(part.select(*kept, "label"), f"{folder}/{name}.csv")
+    return Selection(kept, folder)
+
+
 def matrices(parts: Splits, features: list[str]) -> Matrices:
-    return Matrices(features, *_vector_tables(parts, features))
+    return Matrices(features, *_vector_tables(encoded(parts, features), features))
 
 
 def resampled(m: Matrices, method: str, ratio: float, seed: object = SEED) -> DataFrame:
@@ -58,17 +87,10 @@ def resampled(m: Matrices, method: str, ratio: float, seed: object = SEED) -> Da
     return models.vectors(rows, m.features)
 
 
-def evaluate(m: Matrices, train: DataFrame, config: Boosting = MAIN):
-    """(model, scored validation set) of a fit with early stopping."""
-    model = models.fit_with_patience(train, m.val, config)
-    return model, models.score(model, m.val)
-
-
-def _named(name: str, row: DataFrame, shown: dict[str, str]) -> DataFrame:
-    values = F.array(*[
-        F.struct(F.lit(label).alias("Metric"), F.col(column).alias("Value")) for column, label in shown.items()
-    ])
-    return row.select(F.lit(name).alias("experiment"), F.inline(values))
+def evaluate(m: Matrices, train: DataFrame, config: Boosting = MAIN) -> tuple[Stopped, DataFrame]:
+    """A fit with early stopping, and the validation set scored by its model, written."""
+    fit = models.stop_early(train, m.val, config)
+    return fit, metrics.kept_scores(models.score(fit.model, m.val))
 
 
 GRID_METRICS = {"recall": "Recall", "f1": "F1", "auc": "AUC"}
@@ -81,27 +103,77 @@ def experiment_name(method: str, ratio: float) -> str:
     return method if method == "baseline" else f"{method}_{ratio:.1f}"
 
 
-def run_grid(m: Matrices, config: Boosting = MAIN, parallelism: int = 6) -> DataFrame:
-    """(experiment, Metric, Value) for the baseline and every method and ratio.
+@dataclass(frozen=True)
+class Outputs:
+    """What experiments or compared models leave: long tables by name, and the folders of models and resampled sets."""
+
+    metrics: DataFrame
+    confusion: DataFrame
+    roc: DataFrame
+    resampled: DataFrame
+    models: dict[str, str]
+
+
+def _together(frames: dict[str, DataFrame], column: str) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.select(F.lit(n).alias(column), "*") for n, df in frames.items()])
 
-    Experiments are independent, so a few are submitted at once, as cross-validation does.
+
+def run_grid_fully(m: Matrices, config: Boosting = MAIN, parallelism: int = 6, folder: str | None = None) -> Outputs:
+    """The baseline and every method and ratio: metrics, confusion, ROC points, class counts, models and resampled sets.
+
+    The neighbour lists of SMOTE depend on train alone and are computed once. Experiments are independent, so a few
+    are submitted at once, as cross-validation does. Validation is scored once per experiment. Models and resampled sets lie under
+    ``folder``, or the run's own.
     """
+    spark = m.train.sparkSession
+    folder = folder or scratch_path(spark, "grid")
+    plain = m.train.drop("features")
+    lists = rebalance.prepare_smote(plain, m.features)
 
-    def one(case: tuple[str, float]) -> list[tuple[str, str, float]]:
+    def one(case: tuple[str, float]) -> tuple[str, dict[str, DataFrame]]:
         method, ratio = case
-        train = materialise(resampled(m, method, ratio), "resampled")
-        _, scored = evaluate(m, train, config)
         name = experiment_name(method, ratio)
-        rows = _named(name, metrics.summary(scored), GRID_METRICS).collect()
-        return [(r.experiment, r.Metric, r.Value) for r in rows]
+        rows = rebalance.smote(plain, m.features, ratio, prepared=lists) if method == "smote" else None
+        made = m.train if method == "baseline" else (
+            models.vectors(rows, m.features) if rows is not None else resampled(m, method, ratio)
+        )
+        made.write.parquet(f"{folder}/{name}/train")
+        train = spark.read.parquet(f"{folder}/{name}/train")
+        fit, scored = evaluate(m, train, config)
+        tables.save_model(fit.model, f"{folder}/{name}/model")
+        curve = metrics.by_score(scored)
+        counts = train.groupBy(F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+        return name, {
+            "metrics": metrics.summary(scored), "confusion": metrics.confusion(scored),
+            "roc": metrics.roc(scored, curve), "resampled": counts,
+        }
 
     with ThreadPoolExecutor(parallelism) as pool:
-        found = [row for rows in pool.map(one, GRID) for row in rows]
-    return m.train.sparkSession.createDataFrame(found, "experiment string, Metric string, Value double")
+        found = dict(pool.map(one, GRID))
+    written = materialise_all({
+        part: _together({n: f[part] for n, f in found.items()}, "experiment") for part in ("metrics", "confusion", "roc", "resampled")
+    })
+    return Outputs(*written, {n: f"{folder}/{n}/model" for n in found})
 
 
-def compare(m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND, parallelism: int = 3) -> DataFrame:
-    """Precision, recall, F1 and AUC of logistic regression and two boosted-tree configurations."""
+def run_grid(m: Matrices, config: Boosting = MAIN, parallelism: int = 6) -> DataFrame:
+    """(experiment, Metric, Value) for the baseline and every method and ratio."""
+    return long_metrics(run_grid_fully(m, config, parallelism).metrics)
+
+
+def long_metrics(wide: DataFrame) -> DataFrame:
+    values = F.array(*[
+        F.struct(F.lit(label).alias("Metric"), F.col(column).alias("Value")) for column, label in GRID_METRICS.items()
+    ])
+    return wide.select("experiment", F.inline(values))
+
+
+def compare_fully(
+    m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND, parallelism: int = 3, folder: str | None = None
+) -> Outputs:
+    """Logistic regression and two boosted-tree configurations: metrics, confusion, ROC points and saved models."""
+    spark = m.train.sparkSession
+    folder = folder or scratch_path(spark, "comparison")
     rows = m.train.count()
     fits: dict[str, Callable] = {
         "Logistic Regression": lambda: models.fit_logistic(m.train, rows),
@@ -109,12 +181,27 @@ def compare(m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND, paral
         "Boosted trees, main": lambda: models.fit_with_patience(m.train, m.val, main),
     }
 
-    def one(name: str) -> tuple[str, float, float, float, float]:
-        row = metrics.summary(models.score(fits[name](), m.val)).first()
-        return name, row.precision, row.recall, row.f1, row.auc
+    def one(name: str) -> tuple[str, dict[str, DataFrame]]:
+        model = fits[name]()
+        tables.save_model(model, f"{folder}/{name.replace(' ', '_').replace(',', '')}")
+        scored = metrics.kept_scores(models.score(model, m.val))
+        counts = scored.groupBy(F.col("label").cast("int").alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+        return name, {
+            "metrics": metrics.summary(scored), "confusion": metrics.confusion(scored),
+            "roc": metrics.roc(scored), "resampled": counts,
+        }
 
     with ThreadPoolExecutor(parallelism) as pool:
-        found = list(pool.map(one, fits))
-    return m.train.sparkSession.createDataFrame(
-        found, "Model string, Precision double, Recall double, `F1-score` double, `ROC-AUC` double"
+        found = dict(pool.map(one, fits))
+    written = materialise_all({
+        part: _together({n: f[part] for n, f in found.items()}, "Model") for part in ("metrics", "confusion", "roc", "resampled")
+    })
+    return Outputs(*written, {n: f"{folder}/{n.replace(' ', '_').replace(',', '')}" for n in found})
+
+
+def compare(m: Matrices, main: Boosting = MAIN, second: Boosting = SECOND, parallelism: int = 3) -> DataFrame:
+    """Precision, recall, F1 and AUC of logistic regression and two boosted-tree configurations."""
+    return compare_fully(m, main, second, parallelism).metrics.select(
+        "Model", F.col("precision").alias("Precision"), F.col("recall").alias("Recall"),
+        F.col("f1").alias("F1-score"), F.col("auc").alias("ROC-AUC"),
     )
