@@ -26,7 +26,10 @@ FROM_TABLE = [
     "r1_smote_1_0", "m8_roc_auc", "m9_roc_curve",
 ]
 # These start from the matrices of the chosen features; choosing them is timed as choose_features.
-FITS = ["m2_early_stopping", "m4_logistic_regression", "f9_permutation_importance"]
+FITS = [
+    "m2_early_stopping", "m4_logistic_regression", "f9_permutation_importance", "m10_learning_curve",
+    "m11_model_comparison", "m12_rebalancing_grid",
+]
 
 
 def main() -> None:

@@ -162,6 +162,21 @@ def _f3(spark, sf):
     return corr.select("col_i", "col_j", F.round("corr", 6).alias("corr"))
 
 
+_GAPS = [c for c in ITEM_FEATURES if c != "items_pv_ranking"]
+_GAP_PAIRS = [(a, b) for n, a in enumerate(_GAPS) for b in _GAPS[n + 1 :]]
+
+
+@query("f3_correlations_with_gaps", sql.with_(f"""{sql.history()},
+{sql.items()},
+every AS (SELECT unnest([{', '.join(f"'{a}'" for a, _ in _GAP_PAIRS)}]) AS col_i, unnest([{', '.join(f"'{b}'" for _, b in _GAP_PAIRS)}]) AS col_j,
+  abs(unnest([{', '.join(f'corr({a}::DOUBLE, {b}::DOUBLE)' for a, b in _GAP_PAIRS)}])) AS corr FROM item_f)""", """
+SELECT col_i, col_j, round(corr, 6) AS corr FROM every WHERE isfinite(corr)"""))
+def _f3_gaps(spark, sf):
+    """Item features with their gaps: each pair over the items that have both."""
+    corr = selection.correlations(features.item_features(open_log(spark, sf), _GAPS), _GAPS)
+    return corr.where(F.abs("corr") < float("inf")).select("col_i", "col_j", F.round("corr", 6).alias("corr"))
+
+
 @query("f4_drop_redundant", sql.with_(_CORRS, "SELECT DISTINCT col_i AS feature FROM corrs WHERE corr >= 0.8"))
 def _f4(spark, sf):
     train = prepared(spark, sf).splits.train

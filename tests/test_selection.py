@@ -204,3 +204,41 @@ def test_training_table_of_a_log_table(spark):
     assert len(a.columns) == 58
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert len(selection.inputs(a)) == 44
+
+
+def test_first_rounds_are_a_shorter_fit(separable):
+    """The first trees of a long fit give the losses of a fit of that length, and whole importances."""
+    from footfall.operators.models import Boosting
+
+    config = Boosting(rounds=8, depth=2)
+    long = models.fit_boosting(separable, config)
+    short = models.fit_boosting(separable, Boosting(rounds=3, depth=2))
+    cut = models.first_rounds(long, 3)
+    assert cut.getNumTrees == 3
+    assert models.losses(cut, separable) == pytest.approx(models.losses(short, separable), abs=1e-12)
+
+
+def test_text_columns_are_coded_from_train(spark):
+    from footfall.plans import experiments
+    from footfall.plans.pipeline import Splits
+
+    rows = [(i, "abc"[i % 3], float(i % 5), int(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "user_id long, kind string, x double, label int")
+    parts = experiments.encoded(Splits(df, df.where("kind <> 'c'"), df.limit(5)), ["kind", "x"])
+    assert {r.kind for r in parts.train.collect()} == {0, 1, 2}
+    assert {r.kind for r in parts.val.collect()} == {0, 1}
+
+
+def test_correlation_with_gaps_is_pairwise(spark):
+    rows = [(1.0, 2.0, None), (2.0, None, 1.0), (3.0, 5.0, 2.0), (4.0, 9.0, 1.5), (6.0, 7.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.col_i, r.col_j): r["corr"] for r in selection.correlations(df, ["a", "b", "c"]).collect()}
+
+    def plain(i, j):
+        pairs = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+        x, y = zip(*pairs)
+        mx, my = sum(x) / len(x), sum(y) / len(y)
+        top = sum((p - mx) * (q - my) for p, q in pairs)
+        return abs(top / (sum((p - mx) ** 2 for p in x) * sum((q - my) ** 2 for q in y)) ** 0.5)
+
+    assert got == pytest.approx({("a", "b"): plain(0, 1), ("a", "c"): plain(0, 2), ("b", "c"): plain(1, 2)})
