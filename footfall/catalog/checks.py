@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from footfall.catalog import sql
-from footfall.catalog.registry import AS_OF, log, open_log, query
+from footfall.catalog.registry import AS_OF, add, log, open_log, query
 from footfall.operators import features, history, reconcile, rollup, variants
 from footfall.operators.rollup import of_type
-from footfall.schema import BUY, CART, VIEW
+from footfall.schema import BUY, CART, CATEGORY_FEATURES, ITEM_FEATURES, USER_FEATURES, VIEW
+from footfall.session import scratch_path
+from footfall.sources import tables
 
 
 def _fresh_count(spark, sf, key: str, code: int, name: str):
@@ -55,6 +57,26 @@ def _q1_uncut(spark, sf):
     return reconcile.counts_agree(stored, fresh, "user_id", "total_views")
 
 
+def _all_features(entity: str, key: str, build, view: str, ctes: str, names: list[str]) -> None:
+    """Every feature of an entity: the stored table, read back, against one recomputed from the log."""
+    listed, counts = ", ".join(f"'{n}'" for n in names), ", ".join(f"count({n})" for n in names)
+
+    def run(spark, sf):
+        h = open_log(spark, sf)
+        path = scratch_path(spark, f"{entity}_feature")
+        tables.write_table(build(h), path)
+        return reconcile.all_agree(tables.read_table(spark, path), build(open_log(spark, sf)), key)
+
+    add(f"q1_all_{entity}_features", run, sql.with_(f"{sql.history()},\n{ctes}", f"""
+SELECT unnest([{listed}]) AS feature, keys, unnest(counts) AS present, 0::BIGINT AS only_fresh, 0::BIGINT AS only_stored,
+  0::BIGINT AS differing FROM (SELECT count(*) AS keys, [{counts}] AS counts FROM {view})"""))
+
+
+_all_features("user", "user_id", features.user_features, "user_f", sql.users(), USER_FEATURES)
+_all_features("item", "item_id", features.item_features, "item_f", sql.items(), ITEM_FEATURES)
+_all_features("category", "item_category", features.category_features, "cat_f", sql.categories(), CATEGORY_FEATURES)
+
+
 @query("q2_item_view_not_buy", sql.with_(sql.history(), _agree(
     "item_id", "view_not_buy_rate", "prs WHERE n_view > 0 AND n_buy = 0")))
 def _q2(spark, sf):

@@ -32,6 +32,32 @@ def ratios_agree(
     return _verdict(stored, fresh, key, column, near(F.col("_stored"), F.col("_fresh"), tolerance))
 
 
+def all_agree(stored: DataFrame, fresh: DataFrame, key: str, tolerance: float = 1e-6) -> DataFrame:
+    """A row per feature of two tables of one key, from one join: keys, stored values, keys in one side only, keys that differ.
+
+    Doubles agree within the tolerance, everything else exactly; NULL equals NULL.
+    """
+    names = [c for c in stored.columns if c != key]
+    a = stored.select(key, *[F.col(c).alias(f"a{i}") for i, c in enumerate(names)], F.lit(True).alias("_has_stored"))
+    b = fresh.select(key, *[F.col(c).alias(f"b{i}") for i, c in enumerate(names)], F.lit(True).alias("_has_fresh"))
+    both = F.col("_has_stored") & F.col("_has_fresh")
+    differing = []
+    for i, c in enumerate(names):
+        x, y = F.col(f"a{i}"), F.col(f"b{i}")
+        same = near(x, y, tolerance) if stored.schema[c].dataType.typeName() == "double" else x.eqNullSafe(y)
+        differing.append(F.count_if(both & ~same).alias(f"d{i}"))
+    row = a.join(b, key, "full_outer").agg(
+        F.count(F.lit(1)).alias("keys"), F.count_if(F.col("_has_stored").isNull()).alias("only_fresh"),
+        F.count_if(F.col("_has_fresh").isNull()).alias("only_stored"),
+        *[F.count(f"a{i}").alias(f"p{i}") for i in range(len(names))], *differing,
+    )
+    parts = F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"p{i}").alias("present"), F.col(f"d{i}").alias("differing"))
+        for i, c in enumerate(names)
+    ])
+    return row.select(F.inline(parts), "keys", "only_fresh", "only_stored")
+
+
 def hour_is_tied(stored: DataFrame, tied: DataFrame, key: str, column: str) -> DataFrame:
     """Whether the stored hour is one of the hours sharing the highest count (at most 24 a key)."""
     sets = tied.groupBy(key).agg(F.collect_set(F.col(column).cast("int")).alias("_hours"))
