@@ -13,7 +13,7 @@ Equal sets are one class with one representative. Candidates among representativ
    is the best-placed centre it meets; homes are cut into blocks of bounded size. A block compares its own documents
    with each other and with the centre that visits it.
 2. Buckets that still hold several components send their documents outside the main component to visit the
-   blocks of the others. Visitors stream past a block's documents.
+   homes of the others, in all their blocks. Visitors stream past a block's documents.
 
 So every two documents that share a bucket are compared, unless they are known to be connected, and no link
 between them is lost. Blocks give spanning edges only. All documents of a crowded bucket are fetched once; a bitmap of fixed size keeps most others
@@ -41,7 +41,7 @@ from footfall.llm.components import components
 from footfall.session import materialise
 
 FULL = np.uint64(2**64 - 1)
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 #: Bits of the bitmap that keeps documents without candidates out of the fetch: 4 MB whatever the data.
 BITMAP = 1 << 25
 
@@ -343,10 +343,14 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
         F.max(F.struct("c", (-F.col("component")).alias("minus"))).alias("main"), F.count(F.lit(1)).alias("parts")
     ).where("parts > 1").select("key", (-F.col("main.minus")).alias("main"))
     mixed = now.join(mains, "key")
-    hosts = mixed.select("key", F.col("home").alias("to"), F.col("block").alias("at"), F.col("component").alias("other")).distinct()
-    calls = mixed.where("component <> main").select("key", "id", "home", "block", "component").join(hosts, "key").where(
-        "component <> other and not (home <=> to and block <=> at)"
-    ).select("id", "to", "at").distinct()
+    # a host is a home with all its blocks: the buckets name few homes, however many blocks these have
+    hosts = mixed.groupBy("key", F.col("home").alias("to")).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    sent = mixed.where("component <> main").select("key", "id", "component").join(hosts, "key").where(
+        "low <> component or high <> component"
+    ).select("id", "to").distinct()
+    parts = place.select(F.col("home").alias("to"), F.col("block").alias("at")).distinct()
+    own = place.select("id", "home", "block")
+    calls = sent.join(parts, "to").join(own, "id").where("not (home = to and block = at)").select("id", "to", "at")
     calls = materialise(calls, "calls")
     visitors = texts.select("id", "text").join(calls, "id").select(
         F.col("to").alias("home"), F.col("at").alias("block"), F.lit(1).alias("visits"), "id", "text"
