@@ -34,8 +34,8 @@ REMEMBERED_WORDS = 400_000
 class Settings:
     """Bounds of the fit and shape of the model."""
 
-    max_rows: int = 4_000
-    max_chars: int = 16_000_000
+    max_rows: int = 3_000
+    max_chars: int = 8_000_000
     buckets: int = 1 << 15
     dim: int = 16
     shortest: int = 1
