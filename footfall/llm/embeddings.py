@@ -35,15 +35,15 @@ from footfall.session import materialise
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.9
-    trees: int = 8
+    trees: int = 6
     #: Vectors that the cuts are taken from, and those a leaf should hold of the table.
     sample: int = 40_000
-    leaf: int = 800
+    leaf: int = 1200
     least_sample: int = 12
     depth: int = 36
     #: Margin of a cut, in standard deviations of the projected difference of a pair at the threshold.
     margin: float = 0.54
-    block: int = 1024
+    block: int = 2048
     seed: int = 11
 
 
@@ -110,8 +110,11 @@ def forests(classes: DataFrame, s: Settings) -> dict[int, list[Tree]]:
     return out
 
 
-def in_leaves(classes: DataFrame, grown: dict[int, list[Tree]], s: Settings) -> DataFrame:
-    """A row (kind, path, id, v) for each leaf that each vector falls into; kind tells length and tree."""
+def in_leaves(classes: DataFrame, grown: dict[int, list[Tree]], s: Settings, vectors: bool = True) -> DataFrame:
+    """A row (kind, path, id, v) for each leaf that each vector falls into; kind tells length and tree.
+
+    Without ``vectors``, v is null: finding the leaves again is cheaper than writing all copies to count them.
+    """
     schema = pa.schema([("kind", pa.int64()), ("path", pa.int64()), ("id", pa.int64()), ("v", pa.binary())])
     shared = classes.sparkSession.sparkContext.broadcast(grown)  # bounded by the sample
 
@@ -125,17 +128,19 @@ def in_leaves(classes: DataFrame, grown: dict[int, list[Tree]], s: Settings) ->
                     for path, places in tree.leaves(x, spill(dim, s)):
                         part = rows.take(pa.array(places))
                         n = len(places)
-                        yield as_batch(schema, [[dim * 1000 + t] * n, [path] * n, part.column(0), part.column(2)])
+                        v = part.column(2) if vectors else [None] * n
+                        yield as_batch(schema, [[dim * 1000 + t] * n, [path] * n, part.column(0), v])
 
     return classes.select("id", "dim", "v").mapInArrow(run, "kind long, path long, id long, v binary")
 
 
-def by_blocks(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
+def by_blocks(rows: DataFrame, keys: list[str], block: int, counted: DataFrame | None = None) -> DataFrame:
     """``rows`` once for each pair (i, j) of blocks of their group that they are compared in.
 
-    A group of up to ``block`` rows is one block, compared with itself. ``own`` tells the block a row is of.
+    A group of up to ``block`` rows is one block, compared with itself. ``own`` tells the block a row is of. ``counted`` may
+    stand in for the rows where they are counted.
     """
-    sizes = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")).where(F.count(F.lit(1)) > 1)
+    sizes = (rows if counted is None else counted).groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks")).where(F.count(F.lit(1)) > 1)
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("own")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     return rows.join(sizes, keys).select(*rows.columns, "blocks", own).select("*", other).select(
@@ -198,9 +203,10 @@ def near_duplicates(rows: DataFrame, settings: Settings | None = None) -> DataFr
     # one id on unequal vectors stands for several classes, which belong together as rows of one id do
     twins = members.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("b")).where("a <> b").select("a", "b")
 
-    leaves = materialise(in_leaves(classes, forests(classes, s), s), "leaves")
+    grown = forests(classes, s)
+    leaves, bare = (in_leaves(classes, grown, s, vectors) for vectors in (True, False))
     keys = ["kind", "path"]
-    edges = spanning_links(by_blocks(leaves, keys, s.block), keys, s.threshold)
+    edges = spanning_links(by_blocks(leaves, keys, s.block, bare), keys, s.threshold)
     found = materialise(components(edges.unionByName(twins)), "components")
     in_component = classes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     blocks = by_blocks(in_component.select("component", "dim", "id", "v", "size"), ["component", "dim"], s.block)
