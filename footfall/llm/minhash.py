@@ -209,8 +209,10 @@ def compare(placed: DataFrame, s: Settings) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]):
         shingler = Shingler(s.words)
+        # a few texts at a time become Python's, however many an Arrow batch holds
         rows = (
-            row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in range(5)))
+            row for batch in batches for start in range(0, batch.num_rows, 256)
+            for row in zip(*(c.to_pylist() for c in batch.slice(start, 256).columns))
         )
         known: list[tuple] = []
         for held, visitors in _blocks(rows):
