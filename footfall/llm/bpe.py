@@ -209,9 +209,9 @@ class Encoder:
         self.vocabulary = Vocabulary(path)
         self.merges = Merges(self.vocabulary.rank)
         self.find = regex.compile(pattern).findall
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.chars = 0
+        self.units: dict[str, bytes]
+        self.words: dict[str, bytes]
+        self.forget()
 
     def _learn_words(self, words: set[str]) -> None:
         new = list(words.difference(self.words))
@@ -228,10 +228,14 @@ class Encoder:
         self.words.update(zip(new, whole))
         self.chars += sum(map(len, new))
 
+    def forget(self) -> None:
+        """Workers live on between tasks; what a task has remembered must not pile up beside other operators' work."""
+        self.units, self.words, self.chars = {}, {}, 0
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of a block of texts."""
         if self.chars > REMEMBERED_CHARS:
-            self.units, self.words, self.chars = {}, {}, 0
+            self.forget()
         units, find = self.units, self.find
         # the first unit has no space before it; its key holds a space, as no other unit can
         keys = [["\0 " + (cut := text.split(" "))[0], *cut[1:]] if text else [] for text in texts]
@@ -286,6 +290,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         encoder = _encoder(path, pattern)
         for ids, texts in _blocks(batches):
             yield as_batch(schema, [ids, [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]])
+        encoder.forget()
 
     return map_texts(docs, run, "doc_id long, ids array<long>")
 
@@ -323,5 +328,6 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 [hashlib.sha256(x).hexdigest() for x in coded],
                 [hashlib.sha256(decoded(x)).hexdigest() for x in coded],
             ])
+        encoder.forget()
 
     return map_texts(docs, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

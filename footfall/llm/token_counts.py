@@ -84,15 +84,19 @@ def walk(words: list[str], model: Unigram) -> list[int]:
 class Counter:
     def __init__(self, model: Unigram):
         self.model = model
-        self.known: dict[str, int] = {}
-        self.chars = 0
+        self.known: dict[str, int]
+        self.forget()
+
+    def forget(self) -> None:
+        """Workers live on between tasks; what a task has remembered must not pile up beside other operators' work."""
+        self.known, self.chars = {}, 0
 
     def count(self, texts: list[str]) -> list[int]:
         out = []
         for start in range(0, len(texts), 1024):
             part = [t.split() for t in texts[start : start + 1024]]
             if self.chars > REMEMBERED_CHARS:
-                self.known, self.chars = {}, 0
+                self.forget()
             seen: set[str] = set()
             for words in part:
                 seen.update(words)
@@ -124,5 +128,6 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
         counter = _counter(path)
         for ids, texts in text_batches(batches):
             yield as_batch(schema, [ids, [len(t.split()) for t in texts], counter.count(texts)])
+        counter.forget()
 
     return map_texts(docs, run, "doc_id long, n_words long, n_tokens long")
