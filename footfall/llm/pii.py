@@ -35,7 +35,14 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+# fixed values: characters of an account number by country
+IBAN_LENGTHS = {country: n for n, countries in {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}.items() for country in countries.split()}
 PLAIN_PHONE = re.compile(r"(?<![0-9+.])\(?[0-9]{2,5}\)?(?:[ .-][0-9]{2,5}){1,4}(?![0-9])")
 # fixed values: words that name a kind, in the languages of the corpus
 WORDS = {
@@ -102,10 +109,33 @@ def _phones(text: str):
             yield m.span()
 
 
+def _iban_end(text: str, start: int) -> int | None:
+    """Where an account number that begins here ends: after its country's length, as the checksum says.
+
+    Words in capitals and numbers that follow look like further groups. Where the length of a country isn't known, the
+    last group's end that passes counts; where it is known, besides it only the end of all groups.
+    """
+    ends, code, at = [], "", start
+    while len(code) < 34 and at < len(text):
+        at += text[at] == " "
+        if not ("0" <= text[at : at + 1] <= "9" or "A" <= text[at : at + 1] <= "Z"):
+            break
+        code, at = code + text[at], at + 1
+        if len(code) >= 15 and not (text[at : at + 1].isascii() and text[at : at + 1].isalnum()):
+            ends.insert(0, (len(code), at))
+    known = IBAN_LENGTHS.get(code[:2])
+    if known:
+        ends = [e for e in ends if e[0] == known] + ends[:1]
+    return next((end for n, end in ends if mod97(code[:n])), None)
+
+
 def _ibans(text: str):
-    for m in IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield m.span()
+    m = IBAN_START.search(text)
+    while m:
+        end = _iban_end(text, m.start())
+        if end:
+            yield m.start(), end
+        m = IBAN_START.search(text, end or m.end())
 
 
 def _plain_phones(text: str):

@@ -147,6 +147,17 @@ def luhn_of(digits):
     return pii.luhn(digits)
 
 
+@pytest.mark.parametrize("after", [" BIC COBADEFFXXX", " 2024", " DE02 1203 0000 0000 2020 51", " AND MORE", ""])
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "NO93 8601 1117 947", "ZZ11 3704 0044 0532 0130 00"])
+def test_an_iban_ends_where_its_checksum_says(iban, after):
+    """What follows in capitals or digits is no part of it; a country without a known length ends at a group."""
+    if iban.startswith("ZZ"):
+        iban = next(f"ZZ{n:02}{iban[4:]}" for n in range(2, 99) if pii.mod97(f"ZZ{n:02}{iban[4:]}".replace(" ", "")))
+    text = f"IBAN {iban}{after}"
+    found = [text[s.start : s.end] for s in pii.find(text) if s.kind == "iban"]
+    assert found == [iban] + ([after[1:]] if after.startswith(" DE") else [])
+
+
 def test_personal_data_query_cases(docs, no_docs):
     rows = {(r.doc_id, r.base_sha256, r.spans) for r in pii.digests(docs).collect()}
     want = set()
