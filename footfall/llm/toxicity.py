@@ -1,23 +1,27 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Fitted on a bounded draw of labelled texts on the driver. Terms are words and word beginnings (so that a stem counts
-whatever follows it) that are more common among toxic texts than among the others, beyond chance; of nested
-beginnings the most telling stays. All other words are one term that every text holds, so a single telling word weighs less in a long text.
-A text is its TF-IDF vector over these terms, of length one. The
+Fitted on a bounded draw of labelled texts on the driver. Terms are all words of the draw, and besides them, with a weight
+of their own, leaning ones: words and word beginnings (so that a stem counts whatever follows it) that are more common
+among toxic texts than among the others, beyond chance; of nested beginnings the most telling stays. Beside the leaning ones
+stands one term that every text holds by its number of words, so a single telling word weighs less in a long text.
+A text is its TF-IDF vector over the words and that over the leaning terms, each with a fixed share of the squared length, which is one.
+Words that no text of the draw holds are in no product and don't count. The
 labelled vectors lie in blocks; an inverted index keeps each term's largest weight per block. A query adds up its terms'
 block maxima, visits blocks from the largest bound down, and stops when the next bound is below the k-th
-best cosine, so its neighbours are exactly those that a full scan would find (equal cosines: the smaller
-id first). Votes count by cosine, shrunk towards the rate of all labels; leave-one-out votes of the labelled texts
+best cosine; where many blocks are left after the first one, it reads them by term in one pass. So its neighbours are
+exactly those that a full scan would find (equal cosines: the smaller
+id first). Votes count by the inverse of the squared distance, so that a copy outweighs the rest, shrunk towards the rate of all labels; leave-one-out votes of the labelled texts
 fit a logistic curve that turns a vote into a probability. The nearest examples are kept as evidence.
 
-Defined cases: a null text is an empty one and is scored like any other, with the labelled texts without telling terms
-nearest to it; without labelled rows every score is 0; a null doc_id stays null and counts as held out; labels that are null are left
+Defined cases: a null text is an empty one and is scored like any other, with the labelled texts nearest to it
+(all hold the lumped term); without labelled rows every score is 0; a null doc_id stays null and counts as held out; labels that are null are left
 out, several of one id count as toxic if one of them does; repeated rows each give their own row; whole
 texts are read; columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -38,7 +42,7 @@ WORD = regex.compile(r"\p{L}+")
 #: Lengths of the word beginnings that can be terms.
 BEGINNINGS = range(3, 9)
 END = "$"
-REMEMBERED = 200_000
+REMEMBERED = 50_000
 
 
 @dataclass(frozen=True)
@@ -53,6 +57,10 @@ class Settings:
     #: How many times more common a term must be among toxic texts than among the others.
     least_lift: float = 3.0
     max_terms: int = 4_096
+    #: Share of the leaning terms in a squared length; the words have the rest.
+    lean: float = 0.5
+    #: What is added to a squared distance before its inverse weighs a vote.
+    nearly: float = 0.01
     #: Weight of the general rate in a vote.
     shrink: float = 1.0
     #: Labelled texts whose votes fit the curve.
@@ -113,34 +121,83 @@ def choose_terms(rows: list[tuple], s: Settings) -> list[str]:
     return sorted(chosen)
 
 
+class Postings:
+    """Values of terms at n places: as rows where a term has at least ``dense`` places, by place elsewhere."""
+
+    def __init__(self, terms: np.ndarray, places: np.ndarray, values: np.ndarray, n_terms: int, n: int, dense: int):
+        length = np.bincount(terms, minlength=n_terms)
+        common = np.flatnonzero(length >= dense)
+        self.row = np.full(n_terms, -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), n))
+        wide = self.row[terms] >= 0
+        self.rows[self.row[terms[wide]], places[wide]] = values[wide]
+        self.places, self.values = places[~wide], values[~wide]
+        self.start = np.searchsorted(terms[~wide], np.arange(n_terms + 1))
+
+    def sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Sums of weight times value at each place, over the entries of the terms alone."""
+        row = self.row[terms]
+        wide = row >= 0
+        total = np.zeros(self.rows.shape[1])
+        if wide.any():
+            # einsum and not a BLAS product, whose threads wait busily
+            total += np.einsum("i,ij->j", weights[wide], self.rows[row[wide]])
+            terms, weights = terms[~wide], weights[~wide]
+        begin = self.start[terms]
+        length = self.start[terms + 1] - begin
+        at = np.repeat(begin - np.cumsum(length) + length, length)
+        at += np.arange(len(at))
+        products = np.repeat(weights, length)
+        products *= self.values[at]
+        return total + np.bincount(self.places[at], products, len(total))
+
+
 class Index:
-    """Vectors of the labelled texts, in blocks, with each term's largest weight per block."""
+    """Vectors of the labelled texts, in blocks, with each term's largest weight per block.
+
+    Terms are the leaning ones, then all words; behind them, the lumped one.
+    """
 
-    def __init__(self, terms: list[str], rows: list[tuple], s: Settings):
-        self.s, self.terms = s, terms
+    def __init__(self, leaning: list[str], rows: list[tuple], s: Settings):
+        self.s, self.leaning = s, leaning
         self._scan = None
+        words = sorted({w for _, text, _ in rows for w in WORD.findall(text.lower())})
+        self.terms = [*leaning, *words]
+        self.place = {w: i for i, w in enumerate(words, len(leaning))}
         counts = [self.count(text) for _, text, _ in rows]
-        holding = Counter(t for c in counts for t in c)
-        self.idf = [math.log(1 + len(rows) / max(holding[t], 1)) for t in range(len(terms) + 1)]
-        vectors = [self.vector(c) for c in counts]
+        holding = np.zeros(len(self.terms) + 1)
+        for c in counts:
+            holding[list(c)] += 1
+        self.idf = np.log(1 + len(rows) / np.maximum(holding, 1))
+        vectors = [self.arrays(c) for c in counts]
         # alike vectors side by side make tight blocks
-        order = sorted(range(len(rows)), key=lambda i: (sorted(vectors[i].items(), key=lambda x: (-x[1], x[0])), rows[i][0]))
+        def alike(i: int):
+            terms, weights = vectors[i]
+            first = np.lexsort((terms, -weights))[:8]
+            return [(-weights[j], terms[j]) for j in first], rows[i][0]
+
+        order = sorted(range(len(rows)), key=alike)
         self.ids = [rows[i][0] for i in order]
         self.labels = np.array([float(rows[i][2]) for i in order])
         rank = {i: r for r, i in enumerate(sorted(range(len(rows)), key=lambda i: (rows[i][0], i)))}
         self.tie = np.array([rank[i] for i in order])
-        self.vectors = [vectors[i] for i in order]
-        n_blocks = -(-len(order) // s.block)
-        self.largest = np.zeros((len(terms) + 1, n_blocks))
-        self.blocks: list[dict[int, np.ndarray]] = []
-        for b in range(n_blocks):
-            lists: dict[int, np.ndarray] = {}
-            for j, i in enumerate(order[b * s.block : (b + 1) * s.block]):
-                for t, w in vectors[i].items():
-                    lists.setdefault(t, np.zeros(s.block))[j] = w
-            self.blocks.append(lists)
-            for t, weights in lists.items():
-                self.largest[t, b] = weights.max()
+        # entries by text, and the same by term
+        self.text_start = np.cumsum([0, *(len(vectors[i][0]) for i in order)])
+        self.text_terms = np.concatenate([vectors[i][0] for i in order]).astype(np.int64)
+        self.text_weights = np.concatenate([vectors[i][1] for i in order])
+        places = np.repeat(np.arange(len(order), dtype=np.int64), np.diff(self.text_start))
+        by_term = np.argsort(self.text_terms, kind="stable")
+        terms, places, weights = self.text_terms[by_term], places[by_term], self.text_weights[by_term]
+        n_terms, n_blocks = len(self.terms) + 1, -(-len(order) // s.block)
+        self.postings = Postings(terms, places, weights, n_terms, len(order), max(1, len(order) // 4))
+        # each term's largest weight per block that holds it
+        cell = terms * n_blocks + places // s.block
+        first = np.flatnonzero(np.diff(cell, prepend=-1))
+        self.largest = Postings(
+            terms[first], cell[first] % n_blocks, np.maximum.reduceat(weights, first), n_terms, n_blocks, max(1, n_blocks // 4)
+        )
+        self._query = np.zeros(len(self.terms) + 1)
         self.rate = (sum(y for *_, y in rows) + 0.5) / (len(rows) + 1)
         self.slope, self.offset = 1.0, 0.0
         self._calibrate()
@@ -148,18 +205,28 @@ class Index:
     def __getstate__(self):
         return {**self.__dict__, "_scan": None}  # the automaton is made anew where it is needed
 
+    @property
+    def vectors(self) -> list[dict[int, float]]:
+        return [dict(zip(t.tolist(), w.tolist())) for t, w in map(self._labelled, range(len(self.ids)))]
+
+    def _labelled(self, place: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.text_start[place], self.text_start[place + 1])
+        return self.text_terms[own], self.text_weights[own]
+
     def count(self, text: str) -> dict[int, int]:
-        """Occurrences of each term in a text; all other words are one term more, to the next power of two."""
-        others = {len(self.terms): 1 << text.count(" ").bit_length()}
-        if not self.terms:
-            return others
+        """Occurrences of each leaning term, of each word of the draw, and of all words to the next power of two."""
+        low, found = text.lower(), defaultdict(int)
+        lumped = {len(self.terms): 1 << text.count(" ").bit_length()}
+        place = self.place.get
+        found.update((p, n) for w, n in Counter(WORD.findall(low)).items() if (p := place(w)) is not None)
+        if not self.leaning:
+            return {**found, **lumped}
         if self._scan is None:
             self._scan = ahocorasick.Automaton()
-            for t, term in enumerate(self.terms):
+            for t, term in enumerate(self.leaning):
                 stem = term.rstrip(END)
                 self._scan.add_word(stem, (t, len(stem), term.endswith(END)))
             self._scan.make_automaton()
-        low, found = text.lower(), defaultdict(int)
         for end, (t, length, whole) in self._scan.iter(low):
             start = end - length
             if start >= 0 and low[start].isalpha():
@@ -167,43 +234,68 @@ class Index:
             if whole and end + 1 < len(low) and low[end + 1].isalpha():
                 continue
             found[t] += 1
-        return {**found, **others}
+        return {**found, **lumped}
+
+    def arrays(self, count: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of length one: the TF-IDF of all words, beside that of leaning and lumped terms."""
+        terms = np.fromiter(count, np.int64, len(count))
+        weights = (1 + np.log(np.fromiter(count.values(), float, len(count)))) * self.idf[terms]
+        word = (terms >= len(self.leaning)) & (terms < len(self.terms))
+        for part, share in ((word, 1 - self.s.lean), (~word, self.s.lean)):
+            if part.any():
+                weights[part] *= math.sqrt(share / (weights[part] @ weights[part]))
+        return terms, weights / math.sqrt(weights @ weights)
 
     def vector(self, count: dict[int, int]) -> dict[int, float]:
-        weights = {t: (1 + math.log(n)) * self.idf[t] for t, n in count.items()}
-        norm = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / norm for t, w in weights.items()}
+        terms, weights = self.arrays(count)
+        return dict(zip(terms.tolist(), weights.tolist()))
 
     def nearest(self, vector: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k nearest labelled texts as (cosine, place), and the blocks' bounds decide how many are read."""
-        terms = list(vector)
-        weights = np.array([vector[t] for t in terms])
-        bounds = weights @ self.largest[terms]
+        return self.search(np.fromiter(vector, np.int64, len(vector)), np.fromiter(vector.values(), float, len(vector)), k, without)
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
+        """The k nearest labelled texts as (cosine, place), and the blocks' bounds decide how many are read.
+
+        Where the bounds rule out few of the blocks, the rest are read by term, in one pass, instead of block by block.
+        """
+        bounds = self.largest.sums(terms, weights)
+        order = np.argsort(-bounds, kind="stable")
+        self._query[terms] = weights
         best: list[tuple[float, int, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
+        for n, b in enumerate(order.tolist()):
             # bounds and cosines are sums in different orders: a hair of slack keeps ties
-            if bounds[b] <= 0 or len(best) >= k and bounds[b] < best[k - 1][0] - 1e-9:
+            least = best[k - 1][0] - 1e-9 if len(best) >= k else 0.0
+            if bounds[b] <= 0 or bounds[b] < least:
+                break
+            if n >= 1 and np.count_nonzero(bounds >= least) - n > 6:
+                best = self._best(self.postings.sums(terms, weights), 0, k, without)
                 break
-            lists, cosine = self.blocks[b], np.zeros(self.s.block)
-            for t, w in zip(terms, weights):
-                if t in lists:
-                    cosine += w * lists[t]
             at = b * self.s.block
-            best += [
-                (round(float(cosine[j]), 12), -int(self.tie[at + j]), at + int(j))
-                for j in np.flatnonzero(cosine > 0) if at + j != without
-            ]
-            best = sorted(best, reverse=True)[:k]
+            starts = self.text_start[at : at + self.s.block + 1]
+            own = slice(starts[0], starts[-1])
+            cosine = np.add.reduceat(self.text_weights[own] * self._query[self.text_terms[own]], starts[:-1][: len(self.ids) - at] - starts[0])
+            best = sorted(best + self._best(cosine, at, k, without), reverse=True)[:k]
+        self._query[terms] = 0
         return [(c, place) for c, _, place in best]
 
+    def _best(self, cosine: np.ndarray, at: int, k: int, without: int) -> list[tuple[float, int, int]]:
+        """The k largest cosines above 0 as (cosine, -tie, place), of equal ones those of smaller ids."""
+        if at <= without < at + len(cosine):
+            cosine[without - at] = 0
+        least = max(np.partition(cosine, -k)[-k] - 1e-9, 1e-300) if len(cosine) > k else 1e-300
+        found = [(round(float(cosine[j]), 12), -int(self.tie[at + j]), at + int(j)) for j in np.flatnonzero(cosine >= least)]
+        return sorted(found, reverse=True)[:k]
+
     def vote(self, found: list[tuple[float, int]]) -> float:
-        weight = sum(c for c, _ in found)
-        return (sum(c * self.labels[p] for c, p in found) + self.s.shrink * self.rate) / (weight + self.s.shrink)
+        """Share of toxic neighbours, each by the inverse of its squared distance, so that a copy outweighs the rest."""
+        weights = [1 / (1 - c + self.s.nearly) for c, _ in found]
+        toxic = sum(w * self.labels[p] for w, (_, p) in zip(weights, found))
+        return (toxic + self.s.shrink * self.rate) / (sum(weights) + self.s.shrink)
 
     def _calibrate(self) -> None:
         """The logistic curve from leave-one-out votes of evenly spaced labelled texts."""
         places = range(0, len(self.vectors), max(1, len(self.vectors) // self.s.calibrate))
-        votes = np.array([self.vote(self.nearest(self.vectors[p], self.s.neighbours, p)) for p in places])
+        votes = np.array([self.vote(self.search(*self._labelled(p), self.s.neighbours, p)) for p in places])
         y = self.labels[list(places)]
         if not 0 < y.sum() < len(y):
             return
@@ -244,7 +336,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings | None = None)
 
 
 class Scorer:
-    """Scores texts; remembers the outcome of vectors it has met."""
+    """Scores texts; remembers the outcome of texts it has met."""
 
     def __init__(self, index: Index | None):
         self.index, self.known = index, {}
@@ -253,12 +345,11 @@ class Scorer:
         index = self.index
         if index is None:
             return 0.0, ""
-        count = index.count(text)
-        key = tuple(sorted(count.items()))
+        key = hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
         if key not in self.known:
             if len(self.known) >= REMEMBERED:
                 self.known = {}
-            found = index.nearest(index.vector(count), index.s.neighbours)
+            found = index.search(*index.arrays(index.count(text)), index.s.neighbours)
             evidence = ",".join(f"{index.ids[p]}:{int(index.labels[p])}:{c:.3f}" for c, p in found[:3])
             self.known[key] = index.probability(index.vote(found)), evidence
         return self.known[key]

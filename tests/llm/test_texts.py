@@ -246,6 +246,19 @@ def test_neighbours_are_those_of_a_full_scan(table_of):
         assert np.allclose([c for c, _ in got], cosine[want])
 
 
+def test_copies_of_toxic_texts_without_leaning_terms_are_found():
+    rng = random.Random(3)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(400)]
+    texts = [" ".join(rng.choices(vocabulary, k=40)) for _ in range(400)]
+    rows = [(i, f"{t} idiot" if i < 40 else t, int(i < 45)) for i, t in enumerate(texts)]
+    scorer = toxicity.Scorer(toxicity.fit(rows))
+    for i, text, toxic in rows:
+        score, evidence = scorer.score(text)
+        assert evidence.startswith(f"{i}:{toxic}:1.000,") and (score >= 0.5) == toxic
+    # near copies too, and words that no labelled text holds make no difference
+    assert all(scorer.score(" ".join(texts[i].split()[2:]) + " xyzzy")[0] >= 0.5 for i in range(40, 45))
+
+
 def test_toxicity_cases(spark, docs, no_docs, table_of):
     labels = spark.createDataFrame([(1, 0), (1, 1), (2, None), (6, 0), (10, 1), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.score(docs, toxicity.learn(docs, labels)).collect()
