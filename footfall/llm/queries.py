@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.llm import bpe, embeddings, language, minhash, mixing, pii, sharding, token_counts, topk, toxicity
+from footfall.llm import (
+    bpe, embeddings, filters, language, minhash, mixing, pii, runs, sharding, token_counts, topk, toxicity, warc,
+)
 from footfall.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +76,21 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 ORACLE["op2_minhash"] = """
     WITH RECURSIVE words AS (
         SELECT doc_id, list_filter(regexp_split_to_array(
@@ -198,3 +215,92 @@ ORACLE["op9_top_k"] = """
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
     FROM scored QUALIFY rank <= 10
 """
+ORACLE["op13_warc"] = """
+    WITH p AS (
+        SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+    ), q AS (
+        SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+    )
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+        CASE WHEN first IS DISTINCT FROM page_id AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+    FROM q
+"""
+ORACLE["op12_filter_audit"] = """
+    WITH RECURSIVE orders(o, n) AS (
+        SELECT '', 0
+        UNION ALL
+        SELECT o || f, n + 1 FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE n < 5 AND NOT contains(o, f)
+    ), texts AS (
+        SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+            regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+    ), marked AS (
+        SELECT doc_id, part, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good,
+            doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) AS toxic,
+            concat(
+                CASE WHEN len(w) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' END,
+                CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text) THEN 'C' END,
+                CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+                CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' END
+            ) AS fails
+        FROM texts
+    ), patterns AS (
+        SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+        FROM marked GROUP BY ALL
+    ), steps AS (
+        SELECT part, o AS filter_order, step::INT AS step, o[step] AS f, fails, patterns.n AS n, good, toxic, contains(fails, o[step]) AS fail,
+            translate(fails, o[1:step - 1], '') <> fails AS gone
+        FROM orders, (SELECT unnest(range(1, 6)) AS step), patterns WHERE orders.n = 5
+    ), counted AS (
+        SELECT part, filter_order, step, f, sum(CASE WHEN NOT fail AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+            sum(CASE WHEN fail AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed, sum(CASE WHEN fail AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+            sum(CASE WHEN fails = f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+            sum(CASE WHEN fail AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+            sum(CASE WHEN fail AND NOT gone THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+        FROM steps GROUP BY ALL
+    )
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+    FROM counted
+"""
+ORACLE["op11_periodic_runs"] = """
+    WITH RECURSIVE table_step(i, b, c) AS (
+        SELECT i, 0, i::BIGINT FROM (SELECT unnest(range(256)) AS i)
+        UNION ALL
+        SELECT i, b + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM table_step WHERE b < 8
+    ), crc_table AS (
+        SELECT list(c ORDER BY i) AS t FROM table_step WHERE b = 8
+    ), split AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, xor(4294967295, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT)),
+            lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) AS h
+        FROM documents, crc_table
+    ), placed AS (
+        SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS echoed, (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS g FROM split
+    ), changed AS (
+        SELECT doc_id, n, CASE WHEN echoed THEN list_transform(range(n),
+            lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g)) END]) ELSE w END AS w FROM placed
+    ), words AS (
+        SELECT doc_id, i, w[i + 1] AS w FROM (SELECT doc_id, w, unnest(range(n)) AS i FROM changed)
+    ), equal AS (
+        SELECT x.doc_id, x.i, y.i - x.i AS q FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.w = y.w AND x.i < y.i
+    ), stretches AS (
+        SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (
+            SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+        GROUP BY doc_id, q, island HAVING count(*) >= greatest(q, 12 - q)
+    ), runs AS (
+        SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL
+    ), gone AS (
+        SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs
+    ), collapsed AS (
+        SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+    ), listed AS (
+        SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS r,
+            arg_min([start, length, period], [-length, start, period]) AS best
+        FROM runs GROUP BY doc_id
+    )
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best[1]::BIGINT AS start, best[2]::BIGINT AS length, best[3]::BIGINT AS period,
+        (1000 * best[2] // best[3])::BIGINT AS exponent_milli, sha256(coalesce(r, '')) AS runs_sha256,
+        sha256(coalesce(text, '')) AS collapsed_sha256
+    FROM changed LEFT JOIN listed USING (doc_id) LEFT JOIN collapsed USING (doc_id)
+"""
