@@ -294,7 +294,7 @@ class Index:
 
     def _calibrate(self) -> None:
         """The logistic curve from leave-one-out votes of evenly spaced labelled texts."""
-        places = range(0, len(self.vectors), max(1, len(self.vectors) // self.s.calibrate))
+        places = range(0, len(self.ids), max(1, len(self.ids) // self.s.calibrate))
         votes = np.array([self.vote(self.search(*self._labelled(p), self.s.neighbours, p)) for p in places])
         y = self.labels[list(places)]
         if not 0 < y.sum() < len(y):
