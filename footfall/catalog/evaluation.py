@@ -8,8 +8,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.catalog import sql
-from footfall.catalog.registry import TRAIN_AS_OF, baseline, matrices, open_log, prepared, query
-from footfall.operators import metrics, models
+from footfall.catalog.registry import TRAIN_AS_OF, baseline, grid, matrices, open_log, prepared, query
+from footfall.operators import boosting, metrics, models
 from footfall.operators.models import SECOND
 from footfall.plans import experiments
 from footfall.schema import RATIOS
@@ -216,12 +216,37 @@ SELECT experiment, n0 AS negatives, n1 AS positives, (SELECT count(*) FROM valid
 
 @query("m12_rebalancing_grid", _grid_sql())
 def _m12(spark, sf):
-    """Class counts of each resampled set, and the validation rows each model was scored on."""
-    out = experiments.run_grid_fully(matrices(spark, sf))
-    agrees = spark.createDataFrame(list(_areas(out, "experiment").items()), "experiment string, area_agrees boolean")
-    counts = out.resampled.groupBy("experiment").agg(
-        F.sum(F.when(F.col("label") == 0, F.col("rows")).otherwise(0)).alias("negatives"),
-        F.sum(F.when(F.col("label") == 1, F.col("rows")).otherwise(0)).alias("positives"),
+    """Class counts of each rebalanced set, the validation rows scored, and whether the area under the ROC points is the AUC."""
+    found = grid(spark, sf)
+    curve = metrics.curves(found.scored, "experiment")
+    step = W.partitionBy("experiment").orderBy("cum_neg", "cum_pos")
+    width = F.col("cum_neg") - F.coalesce(F.lag("cum_neg").over(step), F.lit(0))
+    height = (F.col("cum_pos") + F.coalesce(F.lag("cum_pos").over(step), F.lit(0))) / 2
+    area = curve.withColumn("strip", width * height).groupBy("experiment").agg(
+        F.try_divide(F.sum("strip"), F.sum("pos") * F.sum("neg")).alias("area"), F.sum(F.col("pos") + F.col("neg")).alias("validated")
     )
-    scored = out.confusion.groupBy("experiment").agg(F.sum("rows").alias("validated"))
-    return counts.join(scored, "experiment").join(agrees, "experiment")
+    return found.sizes.join(area, "experiment").join(found.metrics, "experiment").select(
+        "experiment", "negatives", "positives", "validated", (F.abs(F.col("area") - F.col("auc")) < 1e-9).alias("area_agrees")
+    )
+
+
+# What a fit gives has no SQL; tests hold it against a plain booster.
+
+
+@query("m12_grid_metrics")
+def _m12_metrics(spark, sf):
+    """Precision, recall, F1, AUC and log loss of every experiment."""
+    return grid(spark, sf).metrics
+
+
+@query("m10_grid_losses")
+def _m10_grid(spark, sf):
+    """Loss of train and validation after every round of every experiment, the kept round marked."""
+    return grid(spark, sf).losses
+
+
+@query("m1_tree_nodes")
+def _m1_nodes(spark, sf):
+    """The trees of every experiment, a row per node."""
+    found = grid(spark, sf)
+    return boosting.nodes(found.fit, spark, found.names)

@@ -108,6 +108,11 @@ def baseline(spark: SparkSession, sf_dir: str):
     return _kept("baseline", spark, sf_dir, build)
 
 
+def grid(spark: SparkSession, sf_dir: str) -> experiments.Grid:
+    """All rebalancing experiments, run together once."""
+    return _kept("grid", spark, sf_dir, lambda: experiments.run_grid_together(matrices(spark, sf_dir)))
+
+
 def forget() -> None:
     """Drop what was prepared, so that the next query builds it again."""
     _KEPT.clear()

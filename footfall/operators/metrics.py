@@ -125,3 +125,24 @@ def summary(scored: DataFrame) -> DataFrame:
     return kept.agg(*_class_rates(), mean_loss()).select(
         "precision", "recall", "f1", auc(kept).scalar().alias("auc"), "log_loss"
     )
+
+
+def curves(scored: DataFrame, by: str) -> DataFrame:
+    """As :func:`by_score` for every value of a column at once, each with running totals of its own."""
+    grouped = scored.groupBy(by, "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
+    )
+    every = running_totals(grouped, [by, "score"], ["pos", "neg"], descending=True)
+    before = every.groupBy(by).agg(*[F.min(F.col(f"cum_{c}") - F.col(c)).alias(f"_before_{c}") for c in ("pos", "neg")])
+    return every.join(before, by).select(
+        by, "score", "pos", "neg", *[(F.col(f"cum_{c}") - F.col(f"_before_{c}")).alias(f"cum_{c}") for c in ("pos", "neg")]
+    )
+
+
+def summaries(scored: DataFrame, by: str) -> DataFrame:
+    """A row per value of a column: precision, recall, f1, auc, log_loss. Writes the curves while it is built."""
+    below = F.col("neg").cast("double") * (F.col("cum_pos") - F.col("pos") / F.lit(2.0))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    areas = curves(scored, by).groupBy(by).agg(F.try_divide(F.sum(below), pairs).alias("auc"))
+    rates = scored.groupBy(by).agg(*_class_rates(), mean_loss())
+    return rates.join(areas, by).select(by, "precision", "recall", "f1", "auc", "log_loss")

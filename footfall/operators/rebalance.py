@@ -128,20 +128,67 @@ def smote(
     real = df.select(*[F.col(f).cast("double").alias(f) for f in features], "label")
     if extra == 0:
         return real
-    ranked, lists = prepared or prepare_smote(df, features, k, seed, keys, block_rows)
+    lists = prepared or prepare_smote(df, features, k, seed, keys, block_rows)
+    made = synthetic(lists, features, positives, extra, k, seed)
+    return real.unionByName(made.select(*features, F.lit(1).cast(df.schema["label"].dataType).alias("label")))
+
+
+def synthetic(
+    prepared: tuple[DataFrame, DataFrame], features: list[str], positives: int, extra: int, k: int = 5, seed: object = SEED
+) -> DataFrame:
+    """(draw, features): the first ``extra`` points drawn; fewer points are the first of more."""
+    ranked, lists = prepared
     pick = hashing.draw(F.lit(positives * k), seed, F.lit("pick"), "draw")
-    draws = _draws(df, extra).select("draw", pick.alias("_pick")).select(
+    draws = _draws(ranked, extra).select("draw", pick.alias("_pick")).select(
+        "draw",
         (F.floor(F.col("_pick") / k) + 1).cast("bigint").alias("_rank"),
         (F.col("_pick") % k + 1).cast("int").alias("_near"),
         hashing.unit(seed, F.lit("gap"), "draw").alias("_gap"),
     )
     based = draws.join(ranked, "_rank").join(lists, "vid")
     target = F.element_at("near", F.col("_near"))
-    made = based.select("x", target.alias("y"), "_gap").select(
+    return based.select("draw", "x", target.alias("y"), "_gap").select(
+        "draw",
         *[
             (F.col("x")[i] + F.col("_gap") * (F.col("y")[i] - F.col("x")[i])).alias(f)
             for i, f in enumerate(features)
         ],
-        F.lit(1).cast(df.schema["label"].dataType).alias("label"),
     )
-    return real.unionByName(made)
+
+
+def grid_weights(
+    df: DataFrame, features: list[str], ratios: list[float], k: int = 5, seed: object = SEED, keys: list[str] | None = None
+) -> tuple[DataFrame, list[tuple[str, float]]]:
+    """(features, label, weights) and the experiments' (method, ratio): every rebalanced set in one table.
+
+    A weight per experiment is how often the row is in its set, the same sets as :func:`oversample`, :func:`undersample` and
+    :func:`smote` give. Made points follow the rows; those of a lower ratio are the first of a higher one's.
+    """
+    keys = keys or ROW
+    negatives, positives = class_counts(df)
+    cases = [("baseline", 0.0)] + [(m, r) for m in ("smote", "oversampling", "undersampling") for r in ratios]
+    extra = {r: oversampled_size(negatives, positives, r) - positives for r in ratios}
+    made = {r: int(negatives * r - positives) for r in ratios}
+    ranked = ranking.seeded_rank(df, seed, keys, "_rank", ["label"])
+    drawn = _draws(df, max(extra.values(), default=0)).select(
+        "draw", (hashing.draw(F.lit(max(positives, 1)), seed, F.lit("over"), "draw") + 1).alias("_rank"), F.lit(1).alias("label")
+    )
+    again = drawn.groupBy("label", "_rank").agg(*[F.count_if(F.col("draw") < extra[r]).alias(f"_again{i}") for i, r in enumerate(ratios)])
+    rows = ranked.withColumn("label", F.col("label").cast("int")).join(again, ["label", "_rank"], "left")
+    one, positive = F.lit(1), F.col("label") == 1
+    weights = []
+    for method, ratio in cases:
+        i = ratios.index(ratio) if ratio in ratios else 0
+        if method == "oversampling":
+            weights.append(F.coalesce(F.col(f"_again{i}"), F.lit(0)).cast("int") + 1)
+        elif method == "undersampling":
+            weights.append((positive | (F.col("_rank") <= undersampled_size(negatives, positives, ratio))).cast("int"))
+        else:
+            weights.append(one)
+    numbers = [F.col(f).cast("double").alias(f) for f in features]
+    real = rows.select(*numbers, "label", F.array(*weights).alias("weights"))
+    if positives <= k or min(made.values(), default=0) < 0 or not max(made.values(), default=0):
+        raise ValueError(f"the ratios need more than {k} positives, and no more than they add to")
+    points = synthetic(prepare_smote(df, features, k, seed, keys), features, positives, max(made.values()), k, seed)
+    own = [(F.col("draw") < made[r]).cast("int") if m == "smote" else F.lit(0) for m, r in cases]
+    return real.unionByName(points.select(*features, F.lit(1).alias("label"), F.array(*own).alias("weights"))), cases

@@ -10,11 +10,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.operators import metrics, models, rebalance, selection
+from footfall.operators import boosting, metrics, models, rebalance, selection
 from footfall.operators.models import MAIN, SECOND, Boosting, Stopped
 from footfall.plans.pipeline import Splits, first_two_steps
 from footfall.schema import RATIOS, SEED
-from footfall.session import materialise_all, scratch_path
+from footfall.session import materialise, materialise_all, scratch_path
 from footfall.sources import tables
 
 
@@ -161,6 +161,43 @@ def run_grid(m: Matrices, config: Boosting = MAIN, parallelism: int = 6) -> Data
     return long_metrics(run_grid_fully(m, config, parallelism).metrics)
 
 
+@dataclass(frozen=True)
+class Grid:
+    """All experiments of one boosting run: metrics, losses by round, scored validation rows, set sizes, and the fit."""
+
+    metrics: DataFrame
+    losses: DataFrame
+    scored: DataFrame
+    sizes: DataFrame
+    fit: boosting.Fit
+    names: list[str]
+
+
+def run_grid_together(m: Matrices, config: boosting.Growth = boosting.Growth(), ratios: list[float] = RATIOS) -> Grid:
+    """The baseline and every method and ratio in one boosting run over one table, rebalanced by weights.
+
+    Each pass over the rows serves all experiments; validation is scored once.
+    """
+    plain = m.train.drop("features")
+    rows, cases = rebalance.grid_weights(plain, m.features, ratios)
+    rows = materialise(rows, "weighted")
+    names = [experiment_name(*c) for c in cases]
+    fit = boosting.fit(rows, m.val.drop("features"), m.features, len(cases), config)
+    scored = materialise(boosting.scores(fit, m.val.drop("features"), ["label"], names), "scored")
+    shown = F.array(*[F.lit(n) for n in names])
+    sizes = rows.select("label", F.posexplode("weights").alias("_e", "w")).groupBy(F.get(shown, F.col("_e")).alias("experiment")).agg(
+        F.sum(F.when(F.col("label") == 0, F.col("w")).otherwise(0)).alias("negatives"),
+        F.sum(F.when(F.col("label") == 1, F.col("w")).otherwise(0)).alias("positives"),
+    )
+    losses = [
+        (name, i + 1, a, b, i + 1 == fit.best[e])
+        for e, name in enumerate(names) for i, (a, b) in enumerate(zip(fit.train_losses[e], fit.val_losses[e]))
+    ]
+    kinds = "experiment string, round int, train_loss double, val_loss double, best boolean"
+    listed = rows.sparkSession.createDataFrame(losses, kinds)
+    return Grid(metrics.summaries(scored, "experiment"), listed, scored, sizes, fit, names)
+
+
 def long_metrics(wide: DataFrame) -> DataFrame:
     values = F.array(*[
         F.struct(F.lit(label).alias("Metric"), F.col(column).alias("Value")) for column, label in GRID_METRICS.items()
