@@ -6,7 +6,7 @@ weighs 0. Every pass over the table serves all experiments:
 1. each task walks its rows down the trees grown so far and adds gradients, curvatures and weights by (experiment, node,
    feature, bin), as whole numbers, so that sums don't depend on their order;
 2. the sums meet by (experiment, node, feature), running sums over the bins give each cut's gain, and the best cut of
-   a node comes to the driver: a row per node;
+   a node comes to the driver: a row per node and partition;
 3. the leaf of the highest gain is split next, until a tree has its leaves. The pass asks for the children of all leaves
    that may be split, so a tree takes about as many passes as it is deep.
 
@@ -18,8 +18,10 @@ The driver holds cuts, trees and losses: bounded by the settings, whatever the r
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+import json
+from collections import namedtuple
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,8 @@ from footfall.session import materialise
 
 #: Sums are whole numbers of this unit.
 UNIT = float(1 << 24)
-#: Rows of a partition of the binned table; a table of one partition is summed without a shuffle.
+#: Rows of a partition of the binned table. A table that fits in one is summed without a shuffle, and its task goes on until the tree is
+#: whole: a pass per round. Larger ones take a pass per step of growth.
 PART_ROWS = 500_000
 _TRAIN_LOSS, _VAL_LOSS = -1, -2
 
@@ -264,28 +267,99 @@ class _Pass:
 _SUMS = "experiment int, node int, feature int, bin int, g long, h long, n long"
 
 
-#: Running sums over the bins of a feature, the gain of each allowed cut, and the best of a node. Text, because it is planned anew in each pass.
-_BEST = """
-WITH met AS (SELECT experiment, node, feature, bin, sum(g) AS g, sum(h) AS h, sum(n) AS n FROM {sums} GROUP BY ALL),
-run AS (SELECT experiment, node, feature, bin, sum(g) OVER upto AS g_low, sum(h) OVER upto AS h_low, sum(n) OVER upto AS n_low,
-    sum(g) OVER whole AS g, sum(h) OVER whole AS h, sum(n) OVER whole AS n
-  FROM met WINDOW whole AS (PARTITION BY experiment, node, feature),
-    upto AS (PARTITION BY experiment, node, feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-scored AS (SELECT *, CASE WHEN node >= 0 AND n > n_low AND n_low >= {min_rows} AND n - n_low >= {min_rows} AND h_low >= {least} AND h - h_low >= {least}
-  THEN (try_divide(double(g_low) * g_low, h_low) + try_divide(double(g - g_low) * (g - g_low), h - h_low) - try_divide(double(g) * g, h)) / {unit}
-  ELSE 0D END AS gain FROM run)
-SELECT experiment, node, top.* FROM (
-  SELECT experiment, node, max(struct(coalesce(gain, 0D) AS gain, -feature AS f, -bin AS b, g_low, h_low, g, h, n)) AS top FROM scored GROUP BY ALL)
-"""
-
+def _quotient(g: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return np.divide(g * g, h, out=np.zeros(len(g)), where=h > 0) / UNIT
 
-def best_cuts(sums: DataFrame, config: Growth) -> DataFrame:
-    """Of each (experiment, node) the cut of the highest gain, the lower feature and bin on ties, with the sums of node and left side.
 
-    Tasks have summed their rows already, so sums should come dealt by feature, or in one partition.
+def best_cuts(config: Growth):
+    """Of each (experiment, node) the cut of the highest gain among the features at hand, the lower feature and bin on ties, with the
+    sums of the node and its left side. All sums of a feature must be at hand.
     """
-    least = max(int(config.min_curvature * UNIT), 1)
-    return sums.sparkSession.sql(_BEST, sums=sums, min_rows=config.min_rows, least=least, unit=UNIT)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = [b for b in batches if len(b)]
+        if not read:
+            return
+        columns = [np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in read]).astype(np.int64) for i in range(7)]
+        order = np.lexsort(columns[3::-1])
+        keys, values = np.stack(columns[:4])[:, order], np.stack(columns[4:])[:, order]
+        cell = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)])
+        keys, values = keys[:, cell], np.add.reduceat(values, cell, axis=1)
+        first = np.flatnonzero(np.r_[True, (keys[:3, 1:] != keys[:3, :-1]).any(0)])
+        sizes = np.diff(np.r_[first, keys.shape[1]])
+        upto = np.cumsum(values, axis=1)
+        low = upto - np.repeat((upto - values)[:, first], sizes, axis=1)
+        whole = np.repeat(np.add.reduceat(values, first, axis=1), sizes, axis=1)
+        (g, h, n), (gl, hl, nl) = whole.astype(float), low.astype(float)
+        least = config.min_curvature * UNIT
+        allowed = (keys[1] >= 0) & (n > nl) & (np.minimum(nl, n - nl) >= config.min_rows) & (np.minimum(hl, h - hl) >= least)
+        gain = np.where(allowed, _quotient(gl, hl) + _quotient(g - gl, h - hl) - _quotient(g, h), 0.0)
+        by = np.lexsort((keys[3], keys[2], -gain, keys[1], keys[0]))
+        top = by[np.flatnonzero(np.r_[True, (keys[:2, by][:, 1:] != keys[:2, by][:, :-1]).any(0)])]
+        found = [*(keys[:, top].astype(np.int32)), gain[top], low[0][top], low[1][top], *whole[:, top]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["experiment", "node", "feature", "bin", "gain", "g_low", "h_low", "g", "h", "n"])
+
+    return run
+
+
+_CUTS = "experiment int, node int, feature int, bin int, gain double, g_low long, h_low long, g long, h long, n long"
+
+
+Cut = namedtuple("Cut", "experiment node feature bin gain g_low h_low g h n")
+
+
+def _best(rows: Iterable[tuple]) -> dict[tuple[int, int], Cut]:
+    best: dict[tuple[int, int], Cut] = {}
+    for r in map(Cut._make, rows):
+        key = r.experiment, r.node
+        if key not in best or (r.gain, -r.feature, -r.bin) > (best[key].gain, -best[key].feature, -best[key].bin):
+            best[key] = r
+    return best
+
+
+def grow(experiments: list[int], config: Growth, one_pass: Callable) -> tuple[dict[int, Tree], dict[int, list]]:
+    """A tree per experiment, and the losses (sum, weight) of train and validation before it. ``one_pass`` sums up the nodes asked for."""
+    sprouts = {e: Sprout(config) for e in experiments}
+    asked = {e: [0] for e in experiments}
+    losses: dict[int, list] = {}
+    while asked:
+        found = one_pass({e: (sprouts[e].tree, nodes) for e, nodes in asked.items()}, not losses)
+        if not losses:
+            sides = {e: [found.get((e, part)) for part in (_TRAIN_LOSS, _VAL_LOSS)] for e in experiments}
+            losses = {e: [(r.g, r.n) if r is not None else (0, 0) for r in pair] for e, pair in sides.items()}
+        for e, nodes in asked.items():
+            for node in nodes:
+                r = found[e, node]
+                if node == 0:
+                    sprouts[e].sums[0] = (r.g, r.h)
+                sprouts[e].learn(node, (r.gain, r.feature, r.bin, (r.g_low, r.h_low), (r.g - r.g_low, r.h - r.h_low)))
+        asked = {e: nodes for e in asked if (nodes := sprouts[e].wanted())}
+    return {e: sprout.finished() for e, sprout in sprouts.items()}, losses
+
+
+def _whole(work: _Pass, experiments: list[int], config: Growth):
+    """Trees grown by the one task of a table of one partition."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        margins = [work.margins(b, _matrix(b.column("bins"), work.width)).ravel() for b in held]
+        held = [
+            pa.RecordBatch.from_pydict({
+                **{n: b.column(n) for n in ("label", "weights", "val", "bins")},
+                "margins": pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1) * work.experiments, pa.int32()), pa.array(m)),
+            }) for b, m in zip(held, margins)
+        ]
+
+        def one_pass(growing, losses):
+            step = replace(work, pending={}, growing=growing, losses=losses)
+            return _best(r.values() for b in best_cuts(config)(step.sums(held)) for r in b.to_pylist())
+
+        trees, losses = grow(experiments, config, one_pass)
+        lists = [list(trees), [json.dumps(t.__dict__) for t in trees.values()], [json.dumps(losses[e]) for e in trees]]
+        kinds = [pa.int32(), pa.string(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(lists, kinds)], names=["experiment", "tree", "losses"])
+
+    return run
 
 
 def _stopped(losses: list[float], patience: int | None) -> tuple[int, bool]:
@@ -319,47 +393,41 @@ def fit(train: DataFrame, val: DataFrame, features: list[str], experiments: int,
     active = [e for e, (p, n) in enumerate(odds) if 0 < p < n]
     pending: dict[int, list[Tree]] = {}
 
-    def run(growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> dict[tuple[int, int], tuple]:
-        work = _Pass(len(features), experiments, start, pending, growing, losses)
+    def rows() -> DataFrame:
+        return table.coalesce(1) if parts <= 1 else table
+
+    def work(growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> _Pass:
+        return _Pass(len(features), experiments, start, pending, growing, losses)
+
+    def one_pass(growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> dict[tuple[int, int], Cut]:
+        out.passes += 1
+        dealt = rows().mapInArrow(work(growing, losses).sums, _SUMS).repartition("experiment", "node", "feature")
+        return _best(dealt.mapInArrow(best_cuts(config), _CUTS).collect())
+
+    def grown() -> tuple[dict[int, Tree], dict[int, list]]:
+        """The next tree of each active experiment, and the losses before it."""
+        if parts > 1:
+            return grow(active, config, one_pass)
         out.passes += 1
-        sums = (table.coalesce(1) if parts <= 1 else table).mapInArrow(work.sums, _SUMS)
-        dealt = sums if parts <= 1 else sums.repartition("experiment", "node", "feature")
-        return {(r.experiment, r.node): r for r in best_cuts(dealt, config).collect()}
+        found = rows().mapInArrow(_whole(work({}, True), list(active), config), "experiment int, tree string, losses string").collect()
+        return {r.experiment: Tree(**json.loads(r.tree)) for r in found}, {r.experiment: json.loads(r.losses) for r in found}
 
     for done in range(config.rounds + 1):
-        sprouts = {e: Sprout(config) for e in active}
-        asked = {e: [0] for e in active}
-        first = True
-        while asked:
-            found = run({e: (sprouts[e].tree, nodes) for e, nodes in asked.items()}, first)
-            if first:
-                first = False
-                for e in list(sprouts):
-                    if done:
-                        for losses, node in ((out.train_losses[e], _TRAIN_LOSS), (out.val_losses[e], _VAL_LOSS)):
-                            r = found.get((e, node))
-                            losses.append(r.g / UNIT / r.n if r is not None and r.n else float("nan"))
-                        out.best[e], over = _stopped(out.val_losses[e], config.patience)
-                        if over or done == config.rounds:
-                            active.remove(e)
-                            del sprouts[e], asked[e]
-            for e, nodes in asked.items():
-                for node in nodes:
-                    r = found[e, node]
-                    if node == 0:
-                        sprouts[e].sums[0] = (r.g, r.h)
-                    sprouts[e].learn(node, (r.gain, -r.f, -r.b, (r.g_low, r.h_low), (r.g - r.g_low, r.h - r.h_low)))
-            asked = {e: nodes for e in asked if (nodes := sprouts[e].wanted())}
+        trees, losses = grown()
+        for e in list(active) if done else []:
+            for kept, (total, n) in zip((out.train_losses[e], out.val_losses[e]), losses[e]):
+                kept.append(total / UNIT / n if n else float("nan"))
+            out.best[e], over = _stopped(out.val_losses[e], config.patience)
+            if over or done == config.rounds:
+                active.remove(e)
         if not active:
             break
-        for e, sprout in sprouts.items():
-            tree = sprout.finished()
-            out.trees[e].append(tree)
-            pending.setdefault(e, []).append(tree)
+        for e in active:
+            out.trees[e].append(trees[e])
+            pending.setdefault(e, []).append(trees[e])
         if (done + 1) % config.carry == 0:
-            work = _Pass(len(features), experiments, start, pending, {}, False)
             kinds = "label int, weights array<int>, val boolean, bins binary, margins array<double>"
-            table = materialise((table.coalesce(1) if parts <= 1 else table).mapInArrow(work.carried, kinds), "margins")
+            table = materialise(rows().mapInArrow(work({}, False).carried, kinds), "margins")
             pending = {}
     return out
 

@@ -6,11 +6,11 @@ whatever the data.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -66,29 +66,50 @@ def keep_informative(
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Absolute Pearson correlations above the diagonal as (i, j, col_i, col_j, corr), one pass.
+    """Absolute Pearson correlations above the diagonal as (i, j, col_i, col_j, corr), in one pass after that for the means.
 
-    Columns without gaps go through one matrix. A pair with a gap in either column is correlated over the rows
-    that have both; NaN where that leaves no variance.
+    A pair with a gap in either column is correlated over the rows that have both; NaN where that leaves no variance.
+    Each task adds products of its rows, with gaps as 0 beside a mask, into one block of sums; the blocks meet entry by entry.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    gaps = numbers.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    whole = [c for c in columns if not gaps[c]]
-    found: dict[tuple[str, str], float] = {}
-    if len(whole) > 1:
-        vectors = VectorAssembler(inputCols=whole, outputCol="_v", handleInvalid="error").transform(numbers)
-        matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
-        found = {(a, b): float(matrix[i, j]) for i, a in enumerate(whole) for j, b in enumerate(whole)}
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    holed = [(i, j) for i, j in pairs if gaps[columns[i]] or gaps[columns[j]]]
-    for start in range(0, len(holed), 400):
-        part = holed[start : start + 400]
-        row = numbers.agg(*[F.corr(columns[i], columns[j]).alias(f"c{n}") for n, (i, j) in enumerate(part)]).first()
-        found.update({(columns[i], columns[j]): float("nan") if v is None else v for (i, j), v in zip(part, row)})
-    rows = [(i, j, columns[i], columns[j], abs(found[columns[i], columns[j]])) for i, j in pairs]
+    n = len(columns)
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    # about the means, so that large values don't cancel
+    means = numbers.agg(*[F.avg(f"c{i}").alias(f"c{i}") for i in range(n)]).first() if n else []
+    shift = np.array([m if m is not None and np.isfinite(m) else 0.0 for m in means])
+    sums = numbers.mapInArrow(_masked_products(shift), "k int, i int, j int, v double").groupBy("k", "i", "j").agg(F.sum("v").alias("v"))
+    count, own, square, product = (np.zeros((n, n)) for _ in range(4))
+    blocks = [count, own, square, product]
+    for r in sums.collect():  # four numbers per pair of columns
+        blocks[r.k][r.i, r.j] = r.v
+    rows = []
+    for i, j in ((i, j) for i in range(n) for j in range(i + 1, n)):
+        m = count[i, j]
+        top = m * product[i, j] - own[i, j] * own[j, i]
+        spread = [m * square[a, b] - own[a, b] ** 2 for a, b in ((i, j), (j, i))]
+        # what rounding leaves of a column without variance is none
+        level = min(s / (m * square[a, b]) if square[a, b] > 0 and m > 1 else 0.0 for s, (a, b) in zip(spread, ((i, j), (j, i))))
+        value = float("nan") if level <= 1e-12 else min(float(abs(top) / (np.sqrt(spread[0]) * np.sqrt(spread[1]))), 1.0)
+        rows.append((i, j, columns[i], columns[j], value))
     return df.sparkSession.createDataFrame(rows, "i int, j int, col_i string, col_j string, corr double")
 
 
+def _masked_products(shift: np.ndarray):
+    """Per task and pair (i, j): rows that have both; over these the sums of i, of its squares, and of i times j."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, len(shift), len(shift)))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1) - shift
+            has = ~np.isnan(x)
+            x = np.where(has, x, 0.0)
+            has = has.astype(float)
+            total += np.stack([has.T @ has, x.T @ has, (x * x).T @ has, x.T @ x])
+        k, i, j = (a.ravel().astype(np.int32) for a in np.indices(total.shape))
+        yield pa.RecordBatch.from_arrays([pa.array(a) for a in (k, i, j, total.ravel())], names=["k", "i", "j", "v"])
+
+    return run
+
+
 def redundant(corr: DataFrame, threshold: float = 0.8, priority: list[str] | None = None) -> DataFrame:
     """Columns to drop: of each strongly correlated pair the earlier one, also if already dropped.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import functions as F
@@ -242,3 +243,15 @@ def test_correlation_with_gaps_is_pairwise(spark):
         return abs(top / (sum((p - mx) ** 2 for p in x) * sum((q - my) ** 2 for q in y)) ** 0.5)
 
     assert got == pytest.approx({("a", "b"): plain(0, 1), ("a", "c"): plain(0, 2), ("b", "c"): plain(1, 2)})
+
+
+def test_correlation_without_variance_is_nan(spark):
+    rows = [(1.0, 5e9, None, 2.0), (2.0, 5e9, 1.0, None), (3.0, 5e9, 2.0, None), (4.5, 5e9, 4.0, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = {(r.col_i, r.col_j): r["corr"] for r in selection.correlations(df.repartition(3), ["a", "b", "c", "d"]).collect()}
+    assert all(math.isnan(got[p]) for p in (("a", "b"), ("b", "c"), ("b", "d"), ("c", "d")))
+    assert got["a", "c"] == pytest.approx(float(np.corrcoef([2, 3, 4.5], [1, 2, 4])[0, 1])) and got["a", "d"] == pytest.approx(1.0)
+    # large values far from 0 keep their digits
+    far = df.select("a", (df.a * 3 + 1e12).alias("e"))
+    assert selection.correlations(far, ["a", "e"]).first()["corr"] == pytest.approx(1.0, abs=1e-6)
+    assert selection.correlations(df.limit(0), ["a", "c"]).first()["corr"] != 0
