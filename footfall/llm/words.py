@@ -53,9 +53,11 @@ def split(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     begins[inner] = solid[inner]
     starts = np.flatnonzero(begins)
     first = np.searchsorted(starts, bounds)
+    stops = solid.copy()
+    stops[:-1] &= begins[1:] | ~solid[1:]
     # with the spaces taken out, a word ends where the next one begins
-    packed = np.ascontiguousarray(data[solid])
-    places = np.concatenate([np.cumsum(solid)[starts] - 1, [len(packed)]]).astype(np.int64)
+    places = np.concatenate([[0], np.cumsum(np.flatnonzero(stops) + 1 - starts)])
+    packed = data[solid]
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(packed)])
     found = words.dictionary_encode()
     return first, found.indices.to_numpy(zero_copy_only=False), found.dictionary
