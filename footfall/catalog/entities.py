@@ -5,11 +5,13 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from footfall.catalog import sql
 from footfall.catalog.registry import AS_OF, Query, add, log, open_log, query
-from footfall.operators import features, history, rollup, variants
+from footfall.operators import distinct, features, history, rollup, variants
 from footfall.schema import BUY, CATEGORY_FEATURES, USER_FEATURES, VIEW
+from footfall.session import materialise
 
 _ITEM_ORDER = [
     "total_pv", "cart_count", "favorite_count", "buy_count", "last3day_pv", "last7day_pv",
@@ -190,3 +192,49 @@ WHERE behavior_type = 1 AND time::DATE >= (SELECT max(time)::DATE FROM log) - {d
 
 for _days in (1, 3, 7):
     _calendar(_days)
+
+
+# --- Distinct partners from partials kept by day ------------------------------------------------------
+
+_WEEK = datetime(2024, 1, 15), datetime(2024, 1, 22)
+
+
+def _span(key: str, partner: str, name: str) -> str:
+    return sql.with_(sql.LOG, f"""
+SELECT {key}, count(DISTINCT {partner}) AS {name} FROM log
+WHERE time >= {sql.stamp(_WEEK[0])} AND time < {sql.stamp(_WEEK[1])} GROUP BY {key}""")
+
+
+def _from_bitmaps(spark, sf, key: str, partner: str, name: str) -> DataFrame:
+    """A week's distinct partners from the bitmaps of all days."""
+    days = materialise(distinct.daily_bitmaps(log(spark, sf), key, partner)[0], "bitmaps", by="day")
+    return distinct.distinct_of_bitmaps(days, key, name, _WEEK[0].date(), _WEEK[1].date())
+
+
+@query("a4_item_users_from_bitmaps", _span("item_id", "user_id", "uv"))
+def _a4_bitmaps(spark, sf):
+    return _from_bitmaps(spark, sf, "item_id", "user_id", "uv")
+
+
+@query("a4_category_users_from_bitmaps", _span("item_category", "user_id", "users_count"))
+def _a4_category_bitmaps(spark, sf):
+    return _from_bitmaps(spark, sf, "item_category", "user_id", "users_count")
+
+
+@query("a7_user_items_from_bitmaps", _span("user_id", "item_id", "items"))
+def _a7_bitmaps(spark, sf):
+    return _from_bitmaps(spark, sf, "user_id", "item_id", "items")
+
+
+@query("a4_category_users_from_sketches", sql.with_(sql.LOG, f"""
+SELECT item_category, count(DISTINCT user_id) AS users_count, TRUE AS estimate_is_near FROM log
+WHERE time >= {sql.stamp(_WEEK[0])} AND time < {sql.stamp(_WEEK[1])} GROUP BY item_category"""))
+def _a4_sketches(spark, sf):
+    """Exact counts, and whether the estimates from a week's daily sketches are within four of their standard errors."""
+    rows = log(spark, sf)
+    days = materialise(distinct.daily_sketches(rows, "item_category", "user_id"), "sketches", by="day")
+    about = distinct.distinct_of_sketches(days, "item_category", "estimate", _WEEK[0].date(), _WEEK[1].date())
+    exact = log(spark, sf, _WEEK[1], _WEEK[0]).groupBy("item_category").agg(F.count_distinct("user_id").alias("users_count"))
+    bound = F.col("users_count") * (4 * 1.04 / 2 ** (distinct.SKETCH_BITS / 2)) + 1
+    near = (F.abs(F.col("estimate") - F.col("users_count")) <= bound).alias("estimate_is_near")
+    return exact.join(about, "item_category").select("item_category", "users_count", near)
