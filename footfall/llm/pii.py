@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -156,6 +157,27 @@ def _near(kind: str, text: str, start: int, end: int) -> bool:
     return bool(words.search(text[max(0, start - NEAR) : start]) or words.search(text[end : end + NEAR]))
 
 
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The places that spans cover, as sorted stretches that don't overlap."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = out[-1][0], max(end, out[-1][1])
+        else:
+            out.append((start, end))
+    return out
+
+
+def _free(spans: Iterable[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The spans, given from left to right, that overlap no stretch taken: one walk along both."""
+    at = 0
+    for start, end in spans:
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        if at == len(taken) or taken[at][0] >= end:
+            yield start, end
+
+
 def find(text: str) -> list[Span]:
     """All spans of a text, in the order of KINDS and then of their start."""
     found: dict[str, list[Span]] = {k: [] for k in KINDS}
@@ -167,17 +189,17 @@ def find(text: str) -> list[Span]:
         for start, end in spans:
             found[kind].append(Span(kind, start, end, PRIOR[kind] + CONTEXT * _near(kind, text, start, end)))
     if has_digit:
-        taken = sorted((s.start, s.end) for spans in found.values() for s in spans)
+        taken = _merged((s.start, s.end) for spans in found.values() for s in spans)
         more = [("iban", PRIOR["iban"], CONTEXT, _ibans(text))]
         more += [("card", UNSURE["card"], NAMED, _cards(text, 13, 15)), ("phone", UNSURE["phone"], NAMED, _plain_phones(text))]
         for kind, prior, named, spans in more:
-            for start, end in spans:
-                if any(a < end and start < b for a, b in taken):
-                    continue
+            made = []
+            for start, end in _free(spans, taken):
                 score = prior + named * _near(kind, text, start, end)
                 if score >= ACCEPTED:
-                    found[kind].append(Span(kind, start, end, round(score, 2)))
-                    taken.append((start, end))
+                    made.append(Span(kind, start, end, round(score, 2)))
+            found[kind] += made
+            taken = _merged([*taken, *((s.start, s.end) for s in made)])
     return [s for k in KINDS for s in sorted(found[k], key=lambda s: s.start)]
 
 

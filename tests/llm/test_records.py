@@ -287,3 +287,33 @@ def test_payloads_of_many_pages_are_looked_up_by_broadcast(spark):
     many = spark.range(3_000).select((F.col("id") + 5).alias("page_id"), F.lit("u").alias("url"), text.alias("html"))
     found = warc.records(many).where("first is not null").groupBy("first").count().collect()
     assert sorted(map(tuple, found)) == [(5, 899), (905, 1)]
+
+
+# personal data: spans kept apart
+
+
+def test_spans_are_kept_apart_as_by_comparing_all():
+    from footfall.llm import pii
+
+    draw = random.Random(5)
+    for _ in range(300):
+        taken = [(a, a + draw.randint(1, 9)) for a in (draw.randrange(80) for _ in range(draw.randint(0, 8)))]
+        starts = sorted(draw.sample(range(90), draw.randint(0, 12)))
+        spans = [(a, min(a + draw.randint(1, 6), b)) for a, b in zip(starts, [*starts[1:], 99])]
+        want = [(a, b) for a, b in spans if not any(x < b and a < y for x, y in taken)]
+        assert list(pii._free(spans, pii._merged(taken))) == want
+
+
+def test_texts_full_of_spans_take_time_in_proportion():
+    import time
+
+    from footfall.llm import pii
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert len(pii.find("tel 030 123 4567 x, " * n)) == n
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    few, many = min(seconds(4_000) for _ in range(3)), min(seconds(16_000) for _ in range(3))
+    assert many < 8 * few
