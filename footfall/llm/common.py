@@ -21,6 +21,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(True))
 
 
+def row_digest(row: Column) -> Column:
+    """A digest of a struct's content that orders rows of any column types, maps included; equal rows have equal digests."""
+    return F.md5(F.to_json(row))
+
+
 def doc_draw(seed: str, doc_id: Column) -> Column:
     """A number in [0, 1) that depends on seed and id alone."""
     text = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit(""))))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from footfall.llm.common import as_batch, map_texts, text_batches
+from footfall.llm.common import as_batch, map_texts, row_digest, text_batches
 from footfall.llm.components import components
 from footfall.session import materialise
 
@@ -373,8 +373,8 @@ def near_duplicates(docs: DataFrame, settings: Settings | None = None) -> DataFr
 def keep_first(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     """The documents, as they are, without those that are near copies of a kept one.
 
-    Of rows that repeat a kept doc_id one stays, that of the least text. Documents that the bitmap rules out
-    pass without a shuffle.
+    Of rows that repeat a kept doc_id one stays, that of the least text, then of the least digest of the row; columns may be
+    of any type. Documents that the bitmap rules out pass without a shuffle.
     """
     found = near_duplicates(docs, settings).where(F.col("doc_id").isNotNull())
     marked = materialise(
@@ -384,6 +384,6 @@ def keep_first(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
     bitmap = _bitmap(marked)
     surely, perhaps = (_by_bitmap(docs, bitmap, inside) for inside in (False, True))
     rest = perhaps.withColumn("id", F.col("doc.doc_id")).join(marked, "id", "left")
-    first = F.row_number().over(W.partitionBy("id").orderBy("doc.text", "doc"))
+    first = F.row_number().over(W.partitionBy("id").orderBy("doc.text", row_digest(F.col("doc"))))
     repeated = rest.where("keep").withColumn("place", first).where("place = 1").select("doc")
     return surely.unionByName(rest.where("keep is null").select("doc")).unionByName(repeated).select("doc.*")

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from footfall.llm.common import row_digest
 from footfall.session import materialise
 
 GOLDEN = 0.6180339887498949
@@ -162,18 +163,17 @@ def _mixed(docs: DataFrame, block: int, seed: str) -> DataFrame:
 
 
 def apply(docs: DataFrame, block: int = 2048, seed: str = "mix") -> DataFrame:
-    """The documents as the mix takes them: whole copies, and the one cut document of a source's last block.
+    """The documents as the mix takes them: whole, as often as their words are taken, to the nearest whole number (halves up).
 
-    A document of size s of which t words are taken comes t // s times as it is, and once more with its first t % s
-    words, joined by single spaces, if that is not 0. Along a source's stream the number of copies falls once, by one, so each
-    source has one place where it falls: other documents are compared with it where they are, and texts need no shuffle.
+    Only the document in which a source's target ends is taken in part, so a source's words differ from what the mix takes by at
+    most half of that document. Documents without words have nothing to take and are left out. Along a source's stream the
+    number of copies falls once, by one, so each source has one place where it falls: other documents are compared with
+    it where they are, and texts need no shuffle. Columns may be of any type.
     """
-    found = _mixed(docs, block, seed).where("size > 0").select(
-        "source_key", "place", "size", "first", (F.floor(F.col("taken") / F.col("size"))).alias("times"),
-        (F.col("taken") % F.col("size")).alias("rest"),
-    )
+    times = F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2)).cast("long")
+    found = _mixed(docs, block, seed).where("size > 0").select("source_key", "place", "size", "first", times.alias("times"))
     marked = materialise(found, "mixed")
-    most = marked.groupBy("source_key").agg(F.max(F.col("times") + (F.col("rest") > 0).cast("long")).alias("most"))
+    most = marked.groupBy("source_key").agg(F.max("times").alias("most"))
     falls = materialise(marked.join(most, "source_key").groupBy("source_key").agg(
         F.max("most").alias("most"), F.min(F.when(F.col("times") < F.col("most"), F.col("place"))).alias("fall")
     ).where("most > 0"), "falls")
@@ -184,23 +184,13 @@ def apply(docs: DataFrame, block: int = 2048, seed: str = "mix") -> DataFrame:
         word_count(F.col("text")).alias("size"), F.md5(F.concat_ws("|", F.lit(seed), text_id)).alias("place"),
     ).where("size > 0").join(falls, "source_key")
     times = F.when(F.col("fall").isNull() | (F.col("place") < F.col("fall")), F.col("most")).otherwise(F.col("most") - 1)
-    plain = placed.where("fall is null or place <> fall").select("doc", times.alias("times"), F.lit(0).cast("long").alias("rest"))
+    plain = placed.where("fall is null or place <> fall").select("doc", times.alias("times"))
     # the documents at the fall, one per source unless rows repeat an id
     alike = ["source_key", "place", "size"]
     cut = marked.join(falls.where("fall is not null").select("source_key", F.col("fall").alias("place")), ["source_key", "place"]).select(
-        *alike, "times", "rest", F.row_number().over(W.partitionBy(*alike).orderBy("first")).alias("copy")
+        *alike, "times", F.row_number().over(W.partitionBy(*alike).orderBy("first")).alias("copy")
     )
-    at_fall = placed.where("place = fall").select(
-        *alike, "doc", F.row_number().over(W.partitionBy(*alike).orderBy("doc")).alias("copy")
-    ).join(cut, [*alike, "copy"]).select("doc", "times", "rest")
-    copies = plain.unionByName(at_fall).withColumn(
-        "n", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times")))
-    ).where("n < times or rest > 0")
-    words = F.filter(F.split("doc.text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    whole = F.col("n") < F.col("times")
-    text = F.when(whole, F.col("doc.text")).otherwise(F.array_join(F.slice(words, 1, F.col("rest").cast("int")), " "))
-    changed = {"text": text}
-    if "n_chars" in docs.columns:
-        length = F.length(text).cast(docs.schema["n_chars"].dataType)
-        changed["n_chars"] = F.when(whole, F.col("doc.n_chars")).otherwise(length)
-    return copies.select(*[changed.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
+    in_order = W.partitionBy(*alike).orderBy("doc.text", row_digest(F.col("doc")))
+    at_fall = placed.where("place = fall").select(*alike, "doc", F.row_number().over(in_order).alias("copy"))
+    copies = plain.unionByName(at_fall.join(cut, [*alike, "copy"]).select("doc", "times")).where("times > 0")
+    return copies.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("doc.*")
