@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.catalog import sql
-from footfall.catalog.registry import AS_OF, Query, add, log, open_log, query
+from footfall.catalog.registry import AS_OF, Query, add, log, open_log, query, rollups_by_day
 from footfall.operators import distinct, features, history, rollup, variants
 from footfall.schema import BUY, CATEGORY_FEATURES, USER_FEATURES, VIEW
 from footfall.session import materialise
@@ -47,6 +47,24 @@ add("category_features", _entity(features.category_features),
     sql.with_(f"{sql.history()},\n{sql.categories()}", "SELECT * FROM cat_f"))
 
 
+@query("user_features_by_day", sql.with_(f"{sql.history()},\n{sql.users()}", "SELECT * FROM user_f"))
+def _user_by_day(spark, sf) -> DataFrame:
+    r = rollups_by_day(spark, sf)
+    return features.user_features(None, None, r.pairs, r.user_categories, r.users)
+
+
+@query("item_features_by_day", sql.with_(f"{sql.history()},\n{sql.items()}", "SELECT * FROM item_f"))
+def _item_by_day(spark, sf) -> DataFrame:
+    r = rollups_by_day(spark, sf)
+    return features.item_features(None, None, r.pairs, r.items)
+
+
+@query("category_features_by_day", sql.with_(f"{sql.history()},\n{sql.categories()}", "SELECT * FROM cat_f"))
+def _category_by_day(spark, sf) -> DataFrame:
+    r = rollups_by_day(spark, sf)
+    return features.category_features(None, None, r.user_categories, r.categories)
+
+
 # --- Definitions over the log without a cutoff, unless they say otherwise ---------------------------
 
 def _by_event(kind: str) -> None:

@@ -8,10 +8,11 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.operators import history
+from footfall.operators import daily, history
 from footfall.operators.history import History
 from footfall.plans import experiments, pipeline
-from footfall.sources.log import log_from_events
+from footfall.session import scratch_path
+from footfall.sources.log import log_from_events, write_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,6 +114,21 @@ def grid(spark: SparkSession, sf_dir: str) -> experiments.Grid:
     return _kept("grid", spark, sf_dir, lambda: experiments.run_grid_together(matrices(spark, sf_dir)))
 
 
+def rollups_by_day(spark: SparkSession, sf_dir: str) -> daily.Rollups:
+    """The roll-ups as of the cutoff from a store of days: the older ones merged, the last day added from its part of the log."""
+
+    def build() -> str:
+        log_path, store = scratch_path(spark, "log"), scratch_path(spark, "days")
+        last = AS_OF - timedelta(days=1)
+        write_log(log(spark, sf_dir, AS_OF), log_path)
+        daily.add_days(log(spark, sf_dir, last), store)
+        daily.merge_days(spark, store, (AS_OF - timedelta(days=10)).date())
+        daily.add_day(spark, log_path, store, last.date())
+        return store
+
+    return daily.rollups(spark, _kept("days", spark, sf_dir, build), AS_OF)
+
+
 def forget() -> None:
     """Drop what was prepared, so that the next query builds it again."""
     _KEPT.clear()

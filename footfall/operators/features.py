@@ -89,23 +89,29 @@ def _item_columns() -> dict[str, Column]:
     }
 
 
+def _by_key(h: History | None, key: str, want: set[str], key_table: DataFrame | None) -> DataFrame:
+    return rollup.by_key(h, key, hourly=bool(want & _FROM_HOURS)) if key_table is None else key_table
+
+
 def _on_key(blocks: list[DataFrame], key: str) -> DataFrame:
     """Every block has a row for every key of the history, so an inner join loses none."""
     return reduce(lambda a, b: a.join(b, key), blocks)
 
 
 def user_features(
-    h: History,
+    h: History | None,
     names: list[str] | None = None,
     pair_table: DataFrame | None = None,
     category_table: DataFrame | None = None,
+    key_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Features per user. ``pair_table`` and ``category_table`` may be given already written."""
+    """Features per user. ``pair_table``, ``category_table`` and ``key_table`` (measures per user) may be given already
+    written; with all three no history is read."""
     names = names or USER_FEATURES
     want = set(names)
     blocks = []
     if want - _FROM_PAIRS - {"interest_concentration"}:
-        blocks.append(rollup.by_key(h, "user_id", hourly=bool(want & _FROM_HOURS)))
+        blocks.append(_by_key(h, "user_id", want, key_table))
     if want & _FROM_PAIRS:
         table = rollup.pairs(h.rows) if pair_table is None else pair_table
         blocks.append(rollup.not_bought(table, "user_id"))
@@ -121,14 +127,17 @@ def user_features(
 
 
 def item_features(
-    h: History, names: list[str] | None = None, pair_table: DataFrame | None = None
+    h: History | None,
+    names: list[str] | None = None,
+    pair_table: DataFrame | None = None,
+    key_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Features per item."""
+    """Features per item; tables as in :func:`user_features`."""
     names = names or ITEM_FEATURES
     want = set(names)
     blocks = []
     if want - _FROM_PAIRS:
-        base = rollup.by_key(h, "item_id", hourly=bool(want & _FROM_HOURS))
+        base = _by_key(h, "item_id", want, key_table)
         if "items_pv_ranking" in want:
             base = ranking.min_rank_desc(base, "n_view", "items_pv_ranking")
         blocks.append(base)
@@ -140,14 +149,17 @@ def item_features(
 
 
 def category_features(
-    h: History, names: list[str] | None = None, category_table: DataFrame | None = None
+    h: History | None,
+    names: list[str] | None = None,
+    category_table: DataFrame | None = None,
+    key_table: DataFrame | None = None,
 ) -> DataFrame:
-    """Features per category; what is missing is 0."""
+    """Features per category; what is missing is 0. Tables as in :func:`user_features`."""
     names = names or CATEGORY_FEATURES
     want = set(names)
     blocks = []
     if want - {"users_count"}:
-        blocks.append(rollup.by_key(h, "item_category", hourly=bool(want & _FROM_HOURS)))
+        blocks.append(_by_key(h, "item_category", want, key_table))
     if "users_count" in want:
         table = rollup.user_categories(h.rows) if category_table is None else category_table
         blocks.append(table.groupBy("item_category").agg(F.count(F.lit(1)).alias("users_count")))

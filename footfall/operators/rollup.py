@@ -25,7 +25,7 @@ def of_type(code: int) -> Column:
     return F.col("behavior_type") == code
 
 
-def _counts() -> list[Column]:
+def counts() -> list[Column]:
     return [F.count(F.lit(1)).alias("n_all")] + [F.count_if(of_type(c)).alias(n) for n, c in TYPES.items()]
 
 
@@ -36,7 +36,7 @@ def _measures(h: History) -> list[Column]:
         F.min("age").alias("last_age"),
         F.min(F.when(of_type(BUY), F.col("age"))).alias("buy_age"),
     ]
-    return _counts() + views + times
+    return counts() + views + times
 
 
 def peak(count: str, hour: str = "hour") -> Column:
@@ -52,7 +52,11 @@ def by_key(h: History, key: str, hourly: bool = True) -> DataFrame:
     """One row of measures per key. With ``hourly`` it goes by (key, hour) and adds bands and peaks."""
     if not hourly:
         return h.rows.groupBy(key).agg(*_measures(h))
-    fine = h.rows.groupBy(key, "hour").agg(*_measures(h))
+    return over_hours(h.rows.groupBy(key, "hour").agg(*_measures(h)), key)
+
+
+def over_hours(fine: DataFrame, key: str) -> DataFrame:
+    """Measures per (key, hour) summed to one row per key, with bands and peaks."""
     summed = [F.sum(c).alias(c) for c in ["n_all", *TYPES, *WINDOWS]]
     bands = {"n_morning": MORNING, "n_afternoon": AFTERNOON, "n_night": NIGHT}
     return fine.groupBy(key).agg(
@@ -69,7 +73,7 @@ def by_key(h: History, key: str, hourly: bool = True) -> DataFrame:
 
 def pairs(rows: DataFrame) -> DataFrame:
     """The pair table: counts by type for each (user, item)."""
-    return rows.groupBy("user_id", "item_id").agg(*_counts())
+    return rows.groupBy("user_id", "item_id").agg(*counts())
 
 
 def not_bought(pair_table: DataFrame, key: str) -> DataFrame:

@@ -38,7 +38,8 @@ def read_log(
     if since is not None:
         rows = rows.where((F.col("dt") >= F.lit(since.date())) & (F.col("time") >= timeparts.naive(since)))
     if until is not None:
-        rows = rows.where((F.col("dt") <= F.lit(until.date())) & (F.col("time") < timeparts.naive(until)))
+        last = (until - timedelta(microseconds=1)).date()
+        rows = rows.where((F.col("dt") <= F.lit(last)) & (F.col("time") < timeparts.naive(until)))
     return rows.select(*(columns or [f.name for f in schema.LOG.fields]))
 
 
