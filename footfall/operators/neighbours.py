@@ -1,7 +1,7 @@
 """Exact nearest neighbours without comparing every pair.
 
 Distinct points are cut into cells: a cell with more rows than a block is halved along its widest coordinate, at the
-median, again and again, and every cell keeps its box. A point's neighbours inside its own cell bound how far its true ones
+median of points drawn from it, again and again, all cuts in one pass over the points; every cell keeps its box. A point's neighbours inside its own cell bound how far its true ones
 can be; the distance to a cell's box, over all coordinates, bounds the distance to its points from below. So a point visits only cells whose
 box is within its bound: the nearest few first, then those still within the bound that these leave. Which cells can matter to any point of a cell is found by
 descending the tree of boxes, level by level, as joins of cells with nodes; both are tables.
@@ -26,6 +26,9 @@ from footfall.session import materialise
 BLOCK_ROWS = 8192
 #: Cells that are visited before bounds are tightened.
 NEAREST_CELLS = 4
+#: Points drawn from an overfull cell to plan its cuts, and the fewest drawn points on one side of a cut.
+SAMPLE = 1 << 16
+LEAST_DRAWN = 32
 _CHUNK = 256
 _ROOT = "r"
 
@@ -119,35 +122,107 @@ def _box_distance(low: Column, high: Column, box_low: Column, box_high: Column,
     return _sum([g * g for g in gaps])
 
 
-def cells(points: DataFrame, dimensions: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+def _plant(block_rows: int, least: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A split tree over the drawn points of one cell, as arrays by node: axis (-1: a leaf), cut, first child, name."""
+
+    def plant(frame: pd.DataFrame) -> pd.DataFrame:
+        points, total = _matrix(frame["x"]), int(frame["n"].iloc[0])
+        scale = total / len(points)
+        # a drawn share is an estimate: leaves of it are planned smaller, and not from too few points
+        room, least_drawn = (block_rows, 1) if scale <= 1 else (0.75 * block_rows, least)
+        axes, cuts, children, names, waiting = [-1], [0.0], [0], [""], [(0, np.arange(len(points)))]
+        while waiting:
+            node, held = waiting.pop()
+            if len(held) * scale <= room or len(held) < 2 * least_drawn:
+                continue
+            here = points[held]
+            low, high = here.min(axis=0), here.max(axis=0)
+            axis = int(np.argmax(high - low))
+            if not high[axis] > low[axis]:
+                continue
+            along = here[:, axis]
+            middle = np.partition(along, (len(held) - 1) // 2)[(len(held) - 1) // 2]
+            # a cut below the greatest value leaves points on both sides
+            cut = middle if middle < high[axis] else low[axis]
+            axes[node], cuts[node], children[node] = axis, float(cut), len(axes)
+            for digit, side in (("0", held[along <= cut]), ("1", held[along > cut])):
+                waiting.append((len(axes), side))
+                axes.append(-1)
+                cuts.append(0.0)
+                children.append(0)
+                names.append(names[node] + digit)
+        return pd.DataFrame({
+            "cell": [frame["cell"].iloc[0]], "n": [total], "axes": [axes], "cuts": [cuts], "children": [children], "names": [names],
+        })
+
+    return plant
+
+
+def _route(points: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+    """The leaf of each point in its cell's tree."""
+    if points.empty or trees.empty:
+        return pd.DataFrame({name: pd.Series([], dtype=object) for name in ("vid", "x", "cell")})
+    tree = trees.iloc[0]
+    axes, cuts, children = (np.asarray(tree[c]) for c in ("axes", "cuts", "children"))
+    names = np.asarray(tree["names"], dtype=object)
+    matrix, at = _matrix(points["x"]), np.zeros(len(points), dtype=np.int64)
+    moving = np.flatnonzero(axes[at] >= 0)
+    while len(moving):
+        node = at[moving]
+        at[moving] = children[node] + (matrix[moving, axes[node]] > cuts[node])
+        moving = moving[axes[at[moving]] >= 0]
+    return pd.DataFrame({"vid": points["vid"], "x": points["x"], "cell": tree["cell"] + names[at]})
+
+
+def cells(
+    points: DataFrame, dimensions: int, block_rows: int, sample: int = SAMPLE, least: int = LEAST_DRAWN
+) -> tuple[DataFrame, DataFrame]:
     """(vid, x, cell) of every point, and the boxes (node, low, high, leaf) of all cells and of those they were cut from.
 
-    A node's name is its parent's and a digit. Each level is two groupings over the points and one table.
+    A round draws about ``sample`` points of each overfull cell (all, if it holds fewer), plants a tree over them that goes on
+    until a leaf should fit a block or has too few drawn points, and sends the cell's points down that tree in one pass; a
+    part of a cell goes with a copy of its tree, so no task holds a cell. Only cells that are still overfull go on. A round
+    divides a cell by up to ``sample / (2 * least)``, so the number of rounds, and of writes, is the logarithm to that
+    base, not the depth of the tree: one write for up to ``sample`` points, two for billions. A node's name is its parent's and a digit.
     """
-    corner = [F.array(*[f(F.col("x")[i]) for i in range(dimensions)]) for f in (F.min, F.max)]
     placed = points.select("vid", "x", F.lit(_ROOT).alias("cell"))
-    boxes = []
+    done, turn = [], 0
     while True:
-        now = materialise(placed.groupBy("cell").agg(
-            F.count(F.lit(1)).alias("n"), corner[0].alias("low"), corner[1].alias("high")
-        ), "boxes")
-        full = now.where(F.col("n") > block_rows)
+        counted = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+        full = materialise(counted.where(F.col("n") > block_rows), "full")
         if full.isEmpty():
-            boxes.append(now.select(F.col("cell").alias("node"), "low", "high", F.lit(True).alias("leaf")))
-            return placed, materialise(reduce(DataFrame.unionByName, boxes), "nodes")
-        boxes.append(full.select(F.col("cell").alias("node"), "low", "high", F.lit(False).alias("leaf")))
-        widths = F.zip_with("high", "low", lambda h, l: h - l)
-        axis = (F.array_position(widths, F.array_max(widths)) - 1).cast("int")
-        wide = full.select("cell", axis.alias("axis"), F.get("low", axis).alias("least"), F.get("high", axis).alias("most"))
-        at = F.get("x", F.col("axis"))
-        middles = placed.join(wide, "cell").groupBy("cell").agg(
-            F.first("axis").alias("axis"), F.first("least").alias("least"), F.first("most").alias("most"),
-            F.percentile_approx(at, 0.5).alias("middle"),
+            done.append(placed)
+            break
+        done.append(placed.join(full, "cell", "left_anti"))
+        draw = F.pmod(F.xxhash64("vid", F.lit(turn)), F.lit(1 << 40)) / float(1 << 40) * F.col("n") < sample
+        drawn = placed.join(full, "cell").where(draw)
+        trees = materialise(drawn.groupBy("cell").applyInPandas(
+            _plant(block_rows, least),
+            "cell string, n long, axes array<int>, cuts array<double>, children array<int>, names array<string>",
+        ), "trees")
+        parts = F.ceil(F.col("n") / float(sample)).cast("int")
+        copies = trees.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        guests = placed.join(full.withColumn("parts", parts), "cell").select(
+            "vid", "x", "cell", F.pmod(F.xxhash64("vid", F.lit(-1)), F.col("parts")).cast("int").alias("part")
         )
-        # distinct points differ along the widest coordinate, so both sides of the cut hold some
-        cuts = middles.select("cell", "axis", F.when(F.col("middle") < F.col("most"), F.col("middle")).otherwise(F.col("least")).alias("cut"))
-        side = F.when(F.col("cut").isNull(), "").when(at <= F.col("cut"), "0").otherwise("1")
-        placed = materialise(placed.join(cuts, "cell", "left").select("vid", "x", F.concat("cell", side).alias("cell")), "cells")
+        placed = materialise(guests.groupBy("cell", "part").cogroup(copies.groupBy("cell", "part")).applyInPandas(
+            _route, "vid string, x array<double>, cell string"
+        ), "cells")
+        turn += 1
+    whole = done[0] if len(done) == 1 else reduce(DataFrame.unionByName, done)
+    if len(done) > 2:
+        whole = materialise(whole, "placed")
+    corner = [F.array(*[f(F.col("x")[i]) for i in range(dimensions)]) for f in (F.min, F.max)]
+    leaves = whole.groupBy("cell").agg(corner[0].alias("low"), corner[1].alias("high"))
+    # a node's box holds the boxes of the cells whose names begin with its own
+    above = leaves.select("cell", "low", "high", F.explode(F.sequence(F.lit(1), F.length("cell"))).alias("upto"))
+    bounds = [
+        F.array(*[f(F.col(side)[i]) for i in range(dimensions)]).alias(side) for f, side in ((F.min, "low"), (F.max, "high"))
+    ]
+    nodes = above.groupBy(F.expr("substring(cell, 1, upto)").alias("node")).agg(
+        *bounds, F.bool_or(F.length("cell") == F.col("upto")).alias("leaf")
+    )
+    return whole, materialise(nodes, "nodes")
 
 
 def _reachable(homes: DataFrame, nodes: DataFrame, dimensions: int) -> DataFrame:
@@ -185,9 +260,9 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("place", place).where(F.col("place") <= k)
 
 
-def nearest(points: DataFrame, dimensions: int, k: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def nearest(points: DataFrame, dimensions: int, k: int = 5, block_rows: int = BLOCK_ROWS, sample: int = SAMPLE, least: int = LEAST_DRAWN) -> DataFrame:
     """(vid, place, d2, other) for the k nearest other points, squared Euclidean distance, ties by id."""
-    placed, nodes = cells(points, dimensions, block_rows)
+    placed, nodes = cells(points, dimensions, block_rows, sample, least)
     home = materialise(placed.groupBy("cell").applyInPandas(
         _inside(k), "vid string, d array<double>, other array<string>, bound double"
     ), "home")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import collections
 import itertools
 import random
 
@@ -166,6 +167,45 @@ def test_visited_share_falls_as_rows_grow(spark):
     assert many < 0.5 * few
 
 
+@pytest.mark.parametrize("sample, least", [(1 << 16, 32), (128, 4), (40, 2)])
+def test_cells_planned_from_a_draw(spark, sample, least):
+    """Whatever the draw, no cell is overfull, none is lost, boxes hold their points and neighbours are exact."""
+    rng = np.random.default_rng(8)
+    # whole numbers and eighths: squares sum without rounding
+    rows = [(f"p{i:04d}", [*(float(round(20 * v)) for v in rng.normal(size=2) ** 3), i / 8], 1) for i in range(700)]
+    points = spark.createDataFrame(rows, "vid string, x array<double>, copies long")
+    placed, nodes = neighbours.cells(points, 3, 20, sample, least)
+    at = {r.vid: r.cell for r in placed.collect()}
+    boxes = {r.node: r for r in nodes.collect()}
+    assert len(at) == placed.count() == 700
+    sizes = collections.Counter(at.values())
+    assert max(sizes.values()) <= 20 and {n for n, b in boxes.items() if b.leaf} == set(sizes)
+    for vid, x, _ in rows:
+        for upto in range(1, len(at[vid]) + 1):
+            box = boxes[at[vid][:upto]]
+            assert all(lo <= v <= hi for lo, v, hi in zip(box.low, x, box.high))
+    have = {v: [] for v, _, _ in rows}
+    for r in sorted(neighbours.nearest(points, 3, 4, 20, sample, least).collect(), key=lambda r: r.place):
+        have[r.vid].append((r.d2, r.other))
+    assert have == _brute(rows, 4)
+
+
+def test_writes_do_not_follow_the_depth_of_the_cells(spark, monkeypatch):
+    """Cells of 256 and of 8 rows, four and nine cuts deep, take the same number of writes."""
+    rng = np.random.default_rng(9)
+    rows = [(f"p{i}", [float(v) for v in rng.random(2)], 1) for i in range(4096)]
+    points = spark.createDataFrame(rows, "vid string, x array<double>, copies long")
+    written, write = [], neighbours.materialise
+    monkeypatch.setattr(neighbours, "materialise", lambda df, name, by=None: written.append(name) or write(df, name, by))
+    found = []
+    for block_rows in (256, 8):
+        written.clear()
+        _, nodes = neighbours.cells(points, 2, block_rows)
+        found.append((list(written), nodes.agg(F.max(F.length("node"))).first()[0]))
+    (shallow, few), (deep, many) = found
+    assert shallow == deep and shallow.count("cells") == 1 and many >= few + 5
+
+
 def test_copies_are_their_own_neighbours(spark):
     """A third of the points are copies of one: they cost one row, and interpolate to themselves."""
     rows = [(i, 0, 0, 1, 5.0 if i < 20 else float(i), 1.0) for i in range(60)]
