@@ -9,7 +9,7 @@ from footfall.catalog.registry import AS_OF, add, log, open_log, query
 from footfall.operators import features, history, reconcile, rollup, variants
 from footfall.operators.rollup import of_type
 from footfall.schema import BUY, CART, CATEGORY_FEATURES, ITEM_FEATURES, USER_FEATURES, VIEW
-from footfall.session import scratch_path
+from footfall.session import materialise_all, scratch_path
 from footfall.sources import tables
 
 
@@ -67,9 +67,17 @@ def _all_features(entity: str, key: str, build, view: str, ctes: str, names: lis
         tables.write_table(build(h), path)
         return reconcile.all_agree(tables.read_table(spark, path), build(open_log(spark, sf)), key)
 
-    add(f"q1_all_{entity}_features", run, sql.with_(f"{sql.history()},\n{ctes}", f"""
+    def run_by_fingerprint(spark, sf):
+        stored, fresh = (scratch_path(spark, f"{entity}_{side}") for side in ("feature", "fresh"))
+        for path in (stored, fresh):
+            tables.write_table(build(open_log(spark, sf)), path)
+        return reconcile.agree_by_fingerprint(tables.read_table(spark, stored), tables.read_table(spark, fresh), key)
+
+    want = sql.with_(f"{sql.history()},\n{ctes}", f"""
 SELECT unnest([{listed}]) AS feature, keys, unnest(counts) AS present, 0::BIGINT AS only_fresh, 0::BIGINT AS only_stored,
-  0::BIGINT AS differing FROM (SELECT count(*) AS keys, [{counts}] AS counts FROM {view})"""))
+  0::BIGINT AS differing FROM (SELECT count(*) AS keys, [{counts}] AS counts FROM {view})""")
+    add(f"q1_all_{entity}_features", run, want)
+    add(f"q1_all_{entity}_features_by_fingerprint", run_by_fingerprint, want)
 
 
 _all_features("user", "user_id", features.user_features, "user_f", sql.users(), USER_FEATURES)
@@ -99,6 +107,20 @@ def _q2_filled(spark, sf):
     return reconcile.ratios_agree(stored, fresh, "item_id", "cart_rate")
 
 
+@query("q2_filled_by_fingerprint", sql.with_(sql.history(), """
+SELECT 'cart_rate' AS feature, count(*) AS keys, count(*) FILTER (WHERE v > 0 AND c > 0) AS present, 0::BIGINT AS only_fresh,
+  0::BIGINT AS only_stored, count(*) FILTER (WHERE v > 0 AND c = 0) AS differing
+FROM (SELECT item_id, sum(n_view) AS v, sum(n_cart) AS c FROM prs GROUP BY item_id)"""))
+def _q2_fingerprint(spark, sf):
+    """The same by fingerprints: only the buckets of items viewed and never carted are joined."""
+    h = open_log(spark, sf)
+    sides = {
+        "stored": features.item_features(h, ["cart_rate"]),
+        "fresh": variants.zero_filled_rates(h.rows, "item_id", variants.item_rates()).select("item_id", "cart_rate"),
+    }
+    return reconcile.agree_by_fingerprint(*materialise_all(sides), "item_id")
+
+
 @query("q3_hour_among_ties", sql.with_(f"{sql.history()},\n{sql.users()}", """
 SELECT user_id, active_hour, TRUE AS is_peak FROM user_f"""))
 def _q3(spark, sf):

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from footfall.catalog import sql
 from footfall.catalog.registry import AS_OF, TRAIN_AS_OF, log, matrices, open_log, prepared, query
-from footfall.functions import hashing
+from footfall.functions import hashing, timeparts
 from footfall.operators import assemble, features, history, joins, models, ranking, rollup, selection, variants
 from footfall.operators.rollup import of_type
 from footfall.schema import BUY, CART, CATEGORY_TABLE, FAVOURITE, ITEM_TABLE, SEED, VIEW
 from footfall.session import scratch_path
 from footfall.sources import tables
-from footfall.sources.log import read_log, read_log_csv, write_log, write_log_csv
+from footfall.sources.log import read_log, read_log_csv, read_log_csv_checked, write_log, write_log_csv
 
 # --- Sources and sinks ------------------------------------------------------------------------------
 
@@ -28,6 +30,42 @@ def _s1(spark, sf):
     return read_log_csv(spark, path)
 
 
+# The log as lines of text with planted faults, by the last digits of user + item.
+_FAULTY = f"""{sql.LOG},
+lines AS (SELECT *, (user_id + item_id) % 50 AS f, strftime(time, '%Y-%m-%d %H') AS hour FROM log),
+faulty AS (SELECT *, CASE f WHEN 0 THEN 'x' WHEN 1 THEN '' ELSE user_id::VARCHAR END || ',' ||
+    CASE f WHEN 2 THEN '' ELSE item_id::VARCHAR END || ',' || item_category || ',' ||
+    CASE f WHEN 4 THEN '9' ELSE behavior_type::VARCHAR END || ',' ||
+    CASE f WHEN 3 THEN '2024-02-31 05' ELSE hour END AS line,
+  CASE f WHEN 0 THEN 'malformed' WHEN 1 THEN 'no user' WHEN 2 THEN 'no item' WHEN 3 THEN 'no time'
+    WHEN 4 THEN 'unknown behaviour' END AS reason FROM lines)"""
+
+
+def _read_faulty(spark, sf):
+    """(good rows, path of the quarantine) of the log with planted faults."""
+    rows, fault = log(spark, sf), F.pmod(F.col("user_id") + F.col("item_id"), F.lit(50))
+    text = {c: F.col(c).cast("string") for c in ("user_id", "item_id", "item_category", "behavior_type")}
+    path, quarantine = scratch_path(spark, "log-faulty"), scratch_path(spark, "quarantine")
+    rows.select(
+        F.when(fault == 0, "x").when(fault != 1, text["user_id"]).alias("user_id"),
+        F.when(fault != 2, text["item_id"]).alias("item_id"), text["item_category"].alias("item_category"),
+        F.when(fault == 4, "9").otherwise(text["behavior_type"]).alias("behavior_type"),
+        F.when(fault == 3, "2024-02-31 05").otherwise(timeparts.format_hour("time")).alias("time"),
+    ).write.option("header", True).csv(path)
+    return read_log_csv_checked(spark, path, quarantine, most=0.5), quarantine
+
+
+@query("s1_good_lines", sql.with_(
+    _FAULTY, "SELECT user_id, item_id, item_category, behavior_type, time FROM faulty WHERE reason IS NULL"))
+def _s1_good(spark, sf):
+    return _read_faulty(spark, sf)[0]
+
+
+@query("s1_quarantined_lines", sql.with_(_FAULTY, "SELECT line, reason FROM faulty WHERE reason IS NOT NULL"))
+def _s1_bad(spark, sf):
+    return spark.read.parquet(_read_faulty(spark, sf)[1])
+
+
 @query("s2_write_log_table", _LOG_ROWS)
 def _s2(spark, sf):
     path = scratch_path(spark, "log")
@@ -105,6 +143,20 @@ def _s10(spark, sf):
     return spark.range(1).select(history.last_moment(rows).alias("latest"))
 
 
+@query("s10_counts_while_written", sql.with_(sql.history(), """
+SELECT count(*) AS rows, count(*) FILTER (WHERE behavior_type = 4) AS buys,
+  count(*) FILTER (WHERE item_category IS NULL) AS gaps, max(t) AS latest FROM h"""))
+def _s10_counted(spark, sf):
+    """The report on the history comes out of the job that writes it."""
+    found = tables.write_counted(
+        history.before(log(spark, sf, AS_OF), AS_OF), scratch_path(spark, "history"), rows=F.count(F.lit(1)),
+        buys=F.count_if(of_type(BUY)), gaps=F.count_if(F.col("item_category").isNull()),
+        latest=F.max(timeparts.epoch_seconds("time")),
+    )
+    return spark.createDataFrame(
+        [tuple(found[n] for n in ("rows", "buys", "gaps", "latest"))], "rows long, buys long, gaps long, latest long")
+
+
 # --- Joins and set operations -----------------------------------------------------------------------
 
 
@@ -120,9 +172,12 @@ _J2_COLUMNS = ["user_id", "item_id", "item_category", "label", "total_views", "t
                "buy_count_x", "buy_count_y", "buy_rate_x", "buy_rate_y", "buy_rate"]
 
 
-@query("j2_three_lookups", sql.with_(
+_J2 = sql.with_(
     ",\n".join([sql.history(), sql.users(), sql.items(), sql.categories(), sql.labelled(AS_OF, 1)])
-    + ",\nbase AS (SELECT * FROM lab),\n" + sql.joined(), f"SELECT {', '.join(_J2_COLUMNS)} FROM ft"))
+    + ",\nbase AS (SELECT * FROM lab),\n" + sql.joined(), f"SELECT {', '.join(_J2_COLUMNS)} FROM ft")
+
+
+@query("j2_three_lookups", _J2)
 def _j2(spark, sf):
     h = open_log(spark, sf)
     base = assemble.labelled(log(spark, sf), AS_OF)
@@ -132,6 +187,24 @@ def _j2(spark, sf):
     return assemble.feature_table(base, users, items, categories).select(*_J2_COLUMNS)
 
 
+@query("j2_bucketed_lookups", _J2)
+def _j2_bucketed(spark, sf):
+    """Feature tables kept in buckets of their key: joins leave them where they lie."""
+    h = open_log(spark, sf)
+    built = {
+        "user_id": features.user_features(h, ["total_views", "buy_rate"]),
+        "item_id": features.item_features(h, ["total_pv", "buy_count", "buy_rate"]),
+        "item_category": features.category_features(h, ["total_pv", "buy_count", "buy_rate"]),
+    }
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = []
+    for key, table in built.items():
+        name = f"footfall_{key}_{uuid.uuid4().hex}"
+        tables.write_bucketed(table, name, scratch_path(spark, name), key, buckets)
+        kept.append(spark.table(name))
+    return assemble.feature_table(assemble.labelled(log(spark, sf), AS_OF), *kept).select(*_J2_COLUMNS)
+
+
 @query("j3_inner_join_of_aggregates", sql.with_(sql.history(), """
 SELECT item_id, a.n::DOUBLE / b.n AS growth
 FROM (SELECT item_id, count(*) AS n FROM h, ref WHERE behavior_type = 1 AND t >= ref_t - 259200 GROUP BY item_id) a

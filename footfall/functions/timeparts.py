@@ -16,6 +16,13 @@ def parse_hour(text: Column | str) -> Column:
     return F.to_timestamp_ntz(text, F.lit(TIME_FORMAT))
 
 
+def try_parse_hour(text: Column | str) -> Column:
+    """:func:`parse_hour`, but NULL for a text that is no hour of a calendar day."""
+    whole = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2} \d{2})$", 1)
+    numbers = [F.when(whole != "", F.substring(whole, start, size)).cast("int") for start, size in ((1, 4), (6, 2), (9, 2), (12, 2))]
+    return F.try_make_timestamp_ntz(*numbers, F.lit(0), F.lit(0))
+
+
 def naive(moment: datetime) -> Column:
     return F.lit(f"{moment:%Y-%m-%d %H:%M:%S.%f}").cast("timestamp_ntz")
 

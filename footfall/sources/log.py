@@ -6,9 +6,12 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall import schema
 from footfall.functions import timeparts
+from footfall.session import materialise
+from footfall.sources import tables
 
 # How event names map to behaviour codes. Other events are no behaviour.
 EVENT_CODES = {
@@ -22,6 +25,46 @@ def read_log_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumn("time", timeparts.parse_hour("time"))
 
 
+class TooManyBadLines(ValueError):
+    """A log file whose share of bad lines is above the bound."""
+
+
+def read_log_csv_checked(spark: SparkSession, path: str, quarantine: str, most: float = 0.01) -> DataFrame:
+    """:func:`read_log_csv` that keeps bad lines apart.
+
+    A line is bad if it can't be read under the schema, lacks a user, item or time, or names no behaviour. Bad lines are written
+    to ``quarantine`` as (line, reason), replacing what was there; the reason is the first that holds of ``malformed``,
+    ``no user``, ``no item``, ``no time``, ``unknown behaviour``. If more than the share ``most`` of all lines is bad, the
+    load fails, after the quarantine is written. No lines at all are no failure. An item without a category is good.
+
+    The file is parsed once, into a written table; the quarantine and the good rows are read from that.
+    """
+    fields = T.StructType([*schema.LOG_TEXT.fields, T.StructField("_line", T.StringType())])
+    raw = spark.read.schema(fields).option("header", True).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", "_line").csv(path)
+    hour = timeparts.try_parse_hour("time")
+    reason = (
+        F.when(F.col("_line").isNotNull(), "malformed")
+        .when(F.col("user_id").isNull(), "no user")
+        .when(F.col("item_id").isNull(), "no item")
+        .when(hour.isNull(), "no time")
+        .when(F.coalesce(~F.col("behavior_type").isin(*EVENT_CODES.values()), F.lit(True)), "unknown behaviour")
+    )
+    # a line that was read is given back as its fields
+    line = F.coalesce("_line", F.array_join(F.array(*[F.col(f.name).cast("string") for f in schema.LOG_TEXT.fields]), ",", ""))
+    parsed = materialise(raw.select(
+        *[f.name for f in schema.LOG_TEXT.fields if f.name != "time"], hour.alias("time"),
+        reason.alias("reason"), F.when(reason.isNotNull(), line).alias("line"),
+    ), "parsed-log")
+    rows = parsed.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    bad = tables.write_counted(
+        parsed.where(F.col("reason").isNotNull()).select("line", "reason"), quarantine, n=F.count(F.lit(1))
+    )["n"]
+    if bad > most * rows:
+        raise TooManyBadLines(f"{bad} of {rows} lines are bad, more than {most:.2%}; they are in {quarantine}")
+    return parsed.where(F.col("reason").isNull()).select(*[f.name for f in schema.LOG.fields])
+
+
 def read_log(
     spark: SparkSession,
     path: str,

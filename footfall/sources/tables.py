@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.util import MLReadable
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,30 @@ def read_table(spark: SparkSession, path: str, expected: T.StructType | None = N
     return check_schema(rows, expected) if expected is not None else rows
 
 
+def write_counted(df: DataFrame, path: str, **counts: Column) -> dict[str, object]:
+    """Replace a table's content and return aggregates of the rows written, from the same job.
+
+    They are taken in the tasks that write, once for each task that succeeded, so a lost executor counts nothing twice.
+    Aggregates over no rows are as in SQL: counts are 0, others None.
+    """
+    watch = Observation()
+    df.observe(watch, *[c.alias(name) for name, c in counts.items()]).write.mode("overwrite").parquet(path)
+    return watch.get
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """Replace a catalogue table, kept at ``path``, bucketed and sorted by its key.
+
+    Joins on the key then read its rows where they lie; only the other side is shuffled, into as many partitions as there
+    are buckets. Take at least ``spark.sql.shuffle.partitions`` buckets, as Spark shuffles fewer ones again, and as many as keep a
+    bucket within an executor's memory. Rows are brought into buckets first, so that a bucket is one file.
+    """
+    (
+        df.repartition(buckets, key).write.mode("overwrite").option("path", path)
+        .bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    )
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
