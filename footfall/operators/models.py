@@ -129,11 +129,17 @@ def learning_curve(model: GBTClassificationModel, sets: dict[str, DataFrame]) ->
 
 
 def fit_logistic(train: DataFrame, rows: int, iterations: int = 1000):
-    """L2 with unit weight on the summed loss, features unscaled."""
+    """L2 with unit weight on the summed loss, features unscaled.
+
+    The model leaves without the summary of its fit: that holds the session, which no task can be sent once the session has observed
+    rows (:func:`footfall.sources.tables.write_counted`).
+    """
     learner = LogisticRegression(
         regParam=1.0 / rows, elasticNetParam=0.0, standardization=False, maxIter=iterations
     )
-    return learner.fit(train.select("label", "features"))
+    model = learner.fit(train.select("label", "features"))
+    model._java_obj.setSummary(session().sparkContext._jvm.scala.Option.empty())
+    return model
 
 
 def score(model, df: DataFrame) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
-from footfall.operators import joins, reconcile
+from footfall.operators import joins, models, reconcile
 from footfall.session import materialise, scratch_path
 from footfall.sources import tables
 from footfall.sources.log import TooManyBadLines, read_log_csv_checked
@@ -122,3 +123,14 @@ def test_tables_that_agree_are_not_joined(spark):
     # what is left reads the fingerprints alone
     assert "Join" not in plan and "stored-" not in plan and "fresh-" not in plan
     assert {(r.feature, r["keys"], r.present, r.differing) for r in found.collect()} == {("rate", 5000, 5000, 0), ("hour", 5000, 2500, 0)}
+
+
+def test_a_fitted_model_scores_after_rows_were_observed(spark, tmp_path):
+    rows = spark.range(200).select((F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 7 + F.hash("id") % 3 > 3).cast("int").alias("label"))
+    tables.write_counted(rows, str(tmp_path / "counted"), rows=F.count(F.lit(1)))
+    ready = models.vectors(rows, ["a"])
+    model = models.fit_logistic(ready, 200)
+    tables.save_model(model, str(tmp_path / "model"))
+    again = tables.load_model(LogisticRegressionModel, str(tmp_path / "model"))
+    own, read = (sorted(r.score for r in models.score(m, ready).collect()) for m in (model, again))
+    assert own == read and len(own) == 200
