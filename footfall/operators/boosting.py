@@ -13,6 +13,10 @@ weighs 0. Every pass over the table serves all experiments:
 A margin per row and experiment is carried: written every few rounds, with the trees since then added on the fly. The losses
 of a round come with the next one's first pass, so patience ends an experiment at the exact round. No tree is fitted twice.
 
+A table of up to four parts of ``PART_ROWS`` rows is dealt by experiment instead, and a task runs all rounds of its own: it holds a byte
+per row and feature, sums up the smaller child of a split, and has the sums of the larger one by subtraction. Both ways give the same trees,
+as all sums are whole numbers.
+
 The driver holds cuts, trees and losses: bounded by the settings, whatever the rows.
 """
 
@@ -21,7 +25,7 @@ from __future__ import annotations
 import json
 from collections import namedtuple
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +36,10 @@ from footfall.session import materialise
 
 #: Sums are whole numbers of this unit.
 UNIT = float(1 << 24)
-#: Rows of a partition of the binned table. A table that fits in one is summed without a shuffle, and its task goes on until the tree is
-#: whole: a pass per round. Larger ones take a pass per step of growth.
+#: Rows of a partition of the binned table. Tables of more than ``WHOLE_PARTS`` of them take a pass per step of growth.
 PART_ROWS = 500_000
+#: Parts of a table whose experiments each fit in a task.
+WHOLE_PARTS = 4
 _TRAIN_LOSS, _VAL_LOSS = -1, -2
 
 
@@ -268,7 +273,7 @@ _SUMS = "experiment int, node int, feature int, bin int, g long, h long, n long"
 
 
 def _quotient(g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return np.divide(g * g, h, out=np.zeros(len(g)), where=h > 0) / UNIT
+    return np.divide(g * g, h, out=np.zeros(np.shape(g)), where=h > 0) / UNIT
 
 
 def best_cuts(config: Growth):
@@ -337,31 +342,115 @@ def grow(experiments: list[int], config: Growth, one_pass: Callable) -> tuple[di
     return {e: sprout.finished() for e, sprout in sprouts.items()}, losses
 
 
-def _whole(work: _Pass, experiments: list[int], config: Growth):
-    """Trees grown by the one task of a table of one partition."""
+class _Rows:
+    """The rows of one experiment's train set, and while a tree grows those of its nodes with their sums by feature and bin."""
+
+    def __init__(self, bins: np.ndarray, config: Growth):
+        self.columns, self.config = np.ascontiguousarray(bins.T), config
+
+    def start(self, parts: list[np.ndarray]) -> None:
+        """A new tree; ``parts`` are gradients, curvatures and weights."""
+        self.parts = parts
+        self.rows = {0: np.arange(self.columns.shape[1])}
+        self.sums = {0: self._summed(self.rows[0])}
+
+    def _summed(self, rows: np.ndarray) -> np.ndarray:
+        every = len(rows) == self.columns.shape[1]
+        parts = self.parts if every else [p[rows] for p in self.parts]
+        out = np.empty((3, len(self.columns), 256))
+        for f, column in enumerate(self.columns):
+            at = (column if every else column[rows]).astype(np.intp)
+            for k, part in enumerate(parts):
+                out[k, f] = np.bincount(at, part, 256)
+        return out
+
+    def _part(self, tree: Tree, node: int) -> None:
+        rows = self.rows[node]
+        low = self.columns[tree.feature[node]][rows] <= tree.bin[node]
+        sides = sorted(((tree.left[node], rows[low]), (tree.right[node], rows[~low])), key=lambda side: len(side[1]))
+        self.rows.update(sides)
+        (small, own), (large, _) = sides
+        self.sums[small] = self._summed(own)
+        self.sums[large] = self.sums[node] - self.sums[small]
+
+    def _top(self, experiment: int, node: int) -> Cut:
+        """As :func:`best_cuts`: the highest gain, the lower feature and bin on ties, at bins that hold rows."""
+        own = self.sums[node]
+        gl, hl, nl = low = np.cumsum(own, axis=2)
+        g, h, n = low[:, 0, -1]
+        least = self.config.min_curvature * UNIT
+        allowed = (n > nl) & (np.minimum(nl, n - nl) >= self.config.min_rows) & (np.minimum(hl, h - hl) >= least)
+        gain = np.where(allowed, _quotient(gl, hl) + _quotient(g - gl, h - hl) - _quotient(g, h), 0.0)
+        f, b = (int(x) for x in np.unravel_index(np.argmax(np.where(own[2] > 0, gain, -np.inf)), gain.shape))
+        return Cut(experiment, node, f, b, float(gain[f, b]), *(int(x) for x in (gl[f, b], hl[f, b], g, h, n)))
+
+    def cuts(self, growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> dict[tuple[int, int], Cut]:
+        found = {}
+        for e, (tree, nodes) in growing.items():
+            above = {child: node for node, f in enumerate(tree.feature) if f >= 0 for child in (tree.left[node], tree.right[node])}
+            for node in nodes:
+                if node not in self.rows:
+                    self._part(tree, above[node])
+                found[e, node] = self._top(e, node)
+        return found
+
+
+_FITTED = "experiment int, trees string, train_losses string, val_losses string, best int"
+
+
+def _whole(start: list[float], width: int, config: Growth):
+    """All rounds of the experiment whose rows the task has."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
-        margins = [work.margins(b, _matrix(b.column("bins"), work.width)).ravel() for b in held]
-        held = [
-            pa.RecordBatch.from_pydict({
-                **{n: b.column(n) for n in ("label", "weights", "val", "bins")},
-                "margins": pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1) * work.experiments, pa.int32()), pa.array(m)),
-            }) for b, m in zip(held, margins)
-        ]
-
-        def one_pass(growing, losses):
-            step = replace(work, pending={}, growing=growing, losses=losses)
-            return _best(r.values() for b in best_cuts(config)(step.sums(held)) for r in b.to_pylist())
-
-        trees, losses = grow(experiments, config, one_pass)
-        lists = [list(trees), [json.dumps(t.__dict__) for t in trees.values()], [json.dumps(losses[e]) for e in trees]]
-        kinds = [pa.int32(), pa.string(), pa.string()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(lists, kinds)], names=["experiment", "tree", "losses"])
+        held = [b for b in batches if len(b)]
+        if not held:
+            return
+        experiment = held[0].column("experiment")[0].as_py()
+        bins = np.concatenate([_matrix(b.column("bins"), width) for b in held])
+        label, weight = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]).astype(float) for c in ("label", "weight"))
+        val = np.concatenate([b.column("val").to_numpy(zero_copy_only=False) for b in held]).astype(bool)
+        del held
+        sets = [(bins[val == part], label[val == part], weight[val == part]) for part in (False, True)]
+        del bins
+        margins = [np.full(len(y), start[experiment]) for _, y, _ in sets]
+        (_, y, w), rows = sets[0], _Rows(sets[0][0], config)
+        trees: list[Tree] = []
+        losses: list[list[float]] = [[], []]
+        best, over = 0, False
+        for done in range(config.rounds + 1):
+            for kept, margin, (_, label, weight) in zip(losses, margins, sets) if done else ():
+                total, n = (np.rint(UNIT * (np.logaddexp(0, margin) - label * margin)) * weight).sum(), weight.sum()
+                kept.append(int(total) / UNIT / int(n) if n else float("nan"))
+            if done:
+                best, over = _stopped(losses[1], config.patience)
+            if over or done == config.rounds:
+                break
+            p = _sigmoid(margins[0])
+            rows.start([np.rint(UNIT * (p - y)) * w, np.rint(UNIT * p * (1 - p)) * w, w])
+            tree = grow([experiment], config, rows.cuts)[0][experiment]
+            trees.append(tree)
+            for margin, (bins, _, _) in zip(margins, sets):
+                margin += np.array(tree.value)[tree.walk(bins)]
+        texts = [json.dumps(x) for x in ([t.__dict__ for t in trees], *losses)]
+        columns = [pa.array([experiment], pa.int32()), *[pa.array([t]) for t in texts], pa.array([best], pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["experiment", "trees", "train_losses", "val_losses", "best"])
 
     return run
 
 
+def _fit_whole(table: DataFrame, active: list[int], config: Growth, out: Fit) -> None:
+    """Fits each active experiment in a task that has all rows it weighs."""
+    rows = table.select("label", "val", "bins", F.posexplode("weights").alias("experiment", "weight")).where(
+        F.col("experiment").isin(active) & (F.col("weight") > 0)
+    )
+    dealt = rows.repartitionById(len(out.start), F.col("experiment"))
+    out.passes += 1
+    for r in dealt.mapInArrow(_whole(out.start, len(out.features), config), _FITTED).collect():
+        out.trees[r.experiment] = [Tree(**t) for t in json.loads(r.trees)]
+        out.train_losses[r.experiment], out.val_losses[r.experiment] = json.loads(r.train_losses), json.loads(r.val_losses)
+        out.best[r.experiment] = r.best
+
+
 def _stopped(losses: list[float], patience: int | None) -> tuple[int, bool]:
     """(best round, whether patience has run out) of the losses after rounds 1, 2 and so on."""
     best = min(range(len(losses)), key=losses.__getitem__) + 1 if losses else 0
@@ -381,7 +470,6 @@ def fit(train: DataFrame, val: DataFrame, features: list[str], experiments: int,
     )
     table = materialise(binned(both, features, cuts, ["label", "weights", "val"]), "binned")
     parts = -(-table.count() // PART_ROWS)
-    table = materialise(table.coalesce(1) if parts <= 1 else table.repartition(parts), "dealt")
     known = table.where(~F.col("val"))
     sides = known.agg(*[
         F.struct(F.sum(F.col("weights")[e] * F.col("label")).alias("p"), F.sum(F.col("weights")[e]).alias("n")).alias(f"e{e}")
@@ -391,29 +479,23 @@ def fit(train: DataFrame, val: DataFrame, features: list[str], experiments: int,
     start = [float(np.log(p / (n - p))) if 0 < p < n else 0.0 for p, n in odds]
     out = Fit(features, cuts, start, [[] for _ in odds], [[] for _ in odds], [[] for _ in odds], [0] * experiments)
     active = [e for e, (p, n) in enumerate(odds) if 0 < p < n]
+    if parts <= WHOLE_PARTS:
+        if active:
+            _fit_whole(table, active, config, out)
+        return out
+    table = materialise(table.repartition(parts), "dealt")
     pending: dict[int, list[Tree]] = {}
 
-    def rows() -> DataFrame:
-        return table.coalesce(1) if parts <= 1 else table
-
     def work(growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> _Pass:
         return _Pass(len(features), experiments, start, pending, growing, losses)
 
     def one_pass(growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> dict[tuple[int, int], Cut]:
         out.passes += 1
-        dealt = rows().mapInArrow(work(growing, losses).sums, _SUMS).repartition("experiment", "node", "feature")
+        dealt = table.mapInArrow(work(growing, losses).sums, _SUMS).repartition("experiment", "node", "feature")
         return _best(dealt.mapInArrow(best_cuts(config), _CUTS).collect())
 
-    def grown() -> tuple[dict[int, Tree], dict[int, list]]:
-        """The next tree of each active experiment, and the losses before it."""
-        if parts > 1:
-            return grow(active, config, one_pass)
-        out.passes += 1
-        found = rows().mapInArrow(_whole(work({}, True), list(active), config), "experiment int, tree string, losses string").collect()
-        return {r.experiment: Tree(**json.loads(r.tree)) for r in found}, {r.experiment: json.loads(r.losses) for r in found}
-
     for done in range(config.rounds + 1):
-        trees, losses = grown()
+        trees, losses = grow(active, config, one_pass)
         for e in list(active) if done else []:
             for kept, (total, n) in zip((out.train_losses[e], out.val_losses[e]), losses[e]):
                 kept.append(total / UNIT / n if n else float("nan"))
@@ -427,7 +509,7 @@ def fit(train: DataFrame, val: DataFrame, features: list[str], experiments: int,
             pending.setdefault(e, []).append(trees[e])
         if (done + 1) % config.carry == 0:
             kinds = "label int, weights array<int>, val boolean, bins binary, margins array<double>"
-            table = materialise(rows().mapInArrow(work({}, False).carried, kinds), "margins")
+            table = materialise(table.mapInArrow(work({}, False).carried, kinds), "margins")
             pending = {}
     return out
 

@@ -131,3 +131,15 @@ def test_weights_are_the_rebalanced_sets(spark, data):
         else:
             want = (rebalance.oversample if method == "oversampling" else rebalance.undersample)(odd, ratio)
         assert +have == Counter((r.a, r.b, r.c, r.label) for r in want.select(*NAMES, "label").collect())
+
+
+def test_a_small_table_is_fitted_in_one_pass(spark, data, monkeypatch):
+    train, val, _, _ = data
+    config = Growth(leaves=8, rounds=3, min_rows=5, patience=2, step=0.5, carry=2)
+    cuts = boosting.quantile_cuts(train, NAMES, 15)
+    one = boosting.fit(train, val, NAMES, 3, config, cuts)
+    assert one.passes == 1
+    monkeypatch.setattr(boosting, "PART_ROWS", 100)
+    many = boosting.fit(train, val, NAMES, 3, config, cuts)
+    assert [[t.__dict__ for t in trees] for trees in one.trees] == [[t.__dict__ for t in trees] for trees in many.trees]
+    assert (one.train_losses, one.val_losses, one.best) == (many.train_losses, many.val_losses, many.best)
