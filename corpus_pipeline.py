@@ -18,22 +18,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from footfall.llm import bpe, minhash, mixing, pii, toxicity
-from footfall.llm.common import table
+from footfall.llm.common import bounded_batches, table
 from footfall.session import materialise
 
 
-BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Let an Arrow batch hold about 8 MB of texts, unless the session names a bound itself.
-
-    Spark's own bound, 10,000 rows or 64 MB, is held several times by every task: in the JVM's buffers, as Arrow and as Python strings.
-    """
-    if spark.conf.get(BATCH_KEY, None) is None:
-        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     return toxicity.keep_clean(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))

@@ -317,3 +317,18 @@ def test_texts_full_of_spans_take_time_in_proportion():
     seconds(1_000)
     few, many = min(seconds(4_000) for _ in range(3)), min(seconds(16_000) for _ in range(3))
     assert many < 8 * few
+
+
+def test_blocks_come_from_small_arrow_batches(spark, monkeypatch):
+    from footfall.llm.common import BATCH_KEY
+
+    named = spark.conf.get(BATCH_KEY, None)
+    spark.conf.unset(BATCH_KEY)
+    try:
+        monkeypatch.setattr(filters, "BLOCK", 4000)
+        docs = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.repeat(F.lit("some words "), 50).alias("text"))
+        rows = filters.measured(docs.coalesce(1))
+        assert spark.conf.get(BATCH_KEY) == "4000"
+        assert rows.count() == 200 and rows.agg(F.sum("words")).first()[0] == 200 * 100
+    finally:
+        spark.conf.unset(BATCH_KEY) if named is None else spark.conf.set(BATCH_KEY, named)
