@@ -255,3 +255,18 @@ def test_correlation_without_variance_is_nan(spark):
     far = df.select("a", (df.a * 3 + 1e12).alias("e"))
     assert selection.correlations(far, ["a", "e"]).first()["corr"] == pytest.approx(1.0, abs=1e-6)
     assert selection.correlations(df.limit(0), ["a", "c"]).first()["corr"] != 0
+
+
+def test_patience_takes_two_fits_at_most(separable, monkeypatch):
+    tried, fit = [], models.fit_boosting
+    monkeypatch.setattr(models, "fit_boosting", lambda train, config: tried.append(config.rounds) or fit(train, config))
+    models.stop_early(separable, separable, Boosting(depth=1, rounds=9, min_rows=5), patience=2, first=2)
+    assert tried == [2, 9]
+
+
+def test_wide_aggregates_go_by_parts(spark, monkeypatch):
+    df = spark.range(5).select(*[(F.col("id") * i).cast("double").alias(f"c{i}") for i in range(40)])
+    widths, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *columns: widths.append(len(columns)) or agg(self, *columns))
+    assert selection.keep_informative(df, df.columns) == df.columns[1:]
+    assert max(widths) <= 16 and sum(widths) == 80
