@@ -6,7 +6,7 @@ on a bounded draw of texts on the driver; a part kept aside sets the temperature
 calibrates the score, and the lowest score at which the predictions that are kept are right often enough.
 
 The model is linear before the softmax, so each word has a fixed vector of scores. Workers remember it, up to a
-bound, and a text costs one look-up per word.
+bound, and a text costs one look-up per word. New words are hashed together, all n-grams of a slice of them at a time.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0 and not accepted; without any row to learn
 from every text is ``und``; a null doc_id stays null and counts as held out; repeated rows each give their own row; whole texts
@@ -15,7 +15,7 @@ are read; columns other than doc_id, text and, for the fit, lang are not read.
 
 from __future__ import annotations
 
-import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +28,8 @@ from footfall.llm.common import as_batch, bounded_sample, held_out, map_texts, t
 UNKNOWN = "und"
 #: Words whose scores a worker remembers before it starts anew.
 REMEMBERED_WORDS = 400_000
+#: Characters whose n-grams are hashed at a time.
+SLICE_CHARS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -58,10 +60,59 @@ class Model:
     settings: Settings
 
 
-def subwords(word: str, s: Settings) -> list[int]:
-    marked = f"<{word}>"
-    raw = [marked[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1)]
-    return [zlib.crc32(x.encode()) & (s.buckets - 1) for x in raw]
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> 1) ^ (table & 1) * np.uint32(0xEDB88320)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def _rows(text: str, left: np.ndarray, s: Settings) -> np.ndarray:
+    """For each length of n-grams and each of the first characters of ``text``, the row of the n-gram that begins there.
+
+    The row is the CRC32 of the n-gram's UTF-8 bytes, modulo the buckets. ``left`` says how many characters of its word
+    a character has before it, itself included; an n-gram that would leave its word has the row after the last.
+    """
+    data = np.frombuffer((text + "\0" * s.longest).encode(), np.uint8)
+    starts = np.flatnonzero(data & 0xC0 != 0x80)
+    widths = np.diff(starts, append=len(data))
+    n, widest = len(left), int(widths.max())
+    rows = np.empty((s.longest - s.shortest + 1, n), np.int64)
+    state = np.full(n, 0xFFFFFFFF, np.uint32)
+    for k in range(s.longest):
+        # an n-gram's state goes on from that of the n-gram one shorter by the bytes of its last character
+        at, width = starts[k : k + n], widths[k : k + n]
+        state = _CRC[(state ^ data[at]) & 0xFF] ^ (state >> 8)
+        for byte in range(1, widest):
+            more = np.flatnonzero(width > byte)
+            state[more] = _CRC[(state[more] ^ data[at[more] + byte]) & 0xFF] ^ (state[more] >> 8)
+        if k + 1 >= s.shortest:
+            rows[k + 1 - s.shortest] = np.where(left > k, ~state & (s.buckets - 1), s.buckets)
+    return rows
+
+
+def subwords(words: list[str], s: Settings) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(which words, rows of their n-grams by length and character, each word's first character) in slices.
+
+    A word longer than a slice is alone in several, cut from its beginning, so its slices don't depend on other words.
+    """
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(words):
+        before = int(ends[start] - sizes[start])
+        stop = max(int(np.searchsorted(ends, before + SLICE_CHARS, side="right")), start + 1)
+        marked = "".join(f"<{w}>" for w in words[start:stop])
+        last, size = ends[start:stop] - before, sizes[start:stop]
+        end_of = np.repeat(last, np.minimum(size, SLICE_CHARS))
+        for at in range(0, len(marked), SLICE_CHARS):
+            n = min(SLICE_CHARS, len(marked) - at)
+            rows = _rows(marked[at : at + n + s.longest - 1], end_of[:n] - np.arange(at, at + n), s)
+            yield slice(start, stop), rows, last - size
+        start = stop
 
 
 def words_of(text: str) -> list[str]:
@@ -72,10 +123,15 @@ def has_letter(text: str) -> bool:
     return next(filter(str.isalpha, text), None) is not None
 
 
-def _bag(words: list[str], s: Settings, memory: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    for w in words:
-        if w not in memory:
-            memory[w] = np.array(subwords(w, s), np.int32)
+def _rows_by_word(words: list[str], s: Settings) -> dict[str, np.ndarray]:
+    found: dict[str, list[np.ndarray]] = {w: [] for w in words}
+    for which, rows, first in subwords(words, s):
+        for w, part in zip(words[which], np.split(rows, first[1:], axis=1)):
+            found[w].append(part[part < s.buckets].astype(np.int32))
+    return {w: parts[0] if len(parts) == 1 else np.concatenate(parts) for w, parts in found.items()}
+
+
+def _bag(words: list[str], memory: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     rows = np.concatenate([memory[w] for w in words])
     index, n = np.unique(rows, return_counts=True)
     return index, n / len(rows)
@@ -96,18 +152,18 @@ def fit(rows: list[tuple], settings: Settings | None = None) -> Model | None:
     rng = np.random.default_rng(s.seed)
     rows = [rows[i] for i in rng.permutation(len(rows))]
     aside = int(len(rows) * s.aside)
-    memory: dict[str, np.ndarray] = {}
+    memory = _rows_by_word(list({w: None for text, _ in rows for w in words_of(text)}), s)
 
     def bags(part, short: bool):
         out = []
         for text, lang in part:
             words, y = words_of(text), languages.index(lang)
-            out.append((*_bag(words, s, memory), y))
+            out.append((*_bag(words, memory), y))
             if short and len(words) > 24:
                 # a short passage as well, so that short texts are not strange to the model
                 n = int(rng.integers(2, 16))
                 at = int(rng.integers(0, len(words) - n))
-                out.append((*_bag(words[at : at + n], s, memory), y))
+                out.append((*_bag(words[at : at + n], memory), y))
         return out
 
     train, check = bags(rows[aside:], True), bags(rows[:aside], False)
@@ -146,6 +202,9 @@ def fit(rows: list[tuple], settings: Settings | None = None) -> Model | None:
 class Scorer:
     def __init__(self, model: Model):
         self.model = model
+        # a further column counts subwords; the further row is that of no subword
+        counted = np.column_stack([model.scores, np.ones(len(model.scores))])
+        self.table = np.concatenate([counted, np.zeros((1, counted.shape[1]))])
         self._forget()
 
     def _forget(self) -> None:
@@ -156,13 +215,14 @@ class Scorer:
         new = list(words.difference(self.place))
         if not new:
             return
-        m = self.model
-        rows = [subwords(w, m.settings) for w in new]
-        counts = np.array([len(r) for r in rows])
-        picked = m.scores[np.concatenate([np.array(r, np.int64) for r in rows])]
-        sums = np.add.reduceat(picked, np.cumsum(counts) - counts, axis=0)
+        sums = np.zeros((len(new), self.table.shape[1]))
+        for which, rows, first in subwords(new, self.model.settings):
+            picked = self.table[rows[0]]
+            for longer in rows[1:]:
+                picked += self.table[longer]
+            sums[which] += np.add.reduceat(picked, first, axis=0)
         start = len(self.sums)
-        self.sums = np.concatenate([self.sums, np.column_stack([sums, counts])])
+        self.sums = np.concatenate([self.sums, sums])
         self.place.update(zip(new, range(start, start + len(new))))
 
     def score(self, texts: list[str]) -> tuple[list[str], list[float], list[bool]]:

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import sys
 import zlib
 
 import numpy as np
@@ -211,6 +212,54 @@ def test_language_cases(docs, no_docs):
     assert language.predict(no_docs, None).count() == 0
 
 
+def _plain_subwords(word, s):
+    marked = f"<{word}>"
+    grams = [marked[i : i + n] for n in range(s.shortest, s.longest + 1) for i in range(len(marked) - n + 1)]
+    return [zlib.crc32(x.encode()) & (s.buckets - 1) for x in grams]
+
+
+def _language_model(seed=3, **settings):
+    s, rng = language.Settings(**settings), np.random.default_rng(seed)
+    return language.Model(["de", "en", "es"], rng.normal(size=(s.buckets, 3)), rng.normal(size=3), 0.5, 0.9, s)
+
+
+@pytest.mark.parametrize("lengths", [{}, {"shortest": 2, "longest": 6}, {"shortest": 3, "longest": 3}])
+def test_language_scores_are_plain_averages_over_subwords(monkeypatch, lengths):
+    monkeypatch.setattr(language, "REMEMBERED_WORDS", 100)
+    model = _language_model(**lengths)
+    long = "xé漢" * language.SLICE_CHARS + "z"  # a word of several slices
+    texts = [*_random_texts(400), long, f"a {long} b", "a>b <c> <> > <", "İSTANBUL ΣΑΣ.Σ 😀", "A", "漢", "1 2"]
+    found = list(zip(*language.Scorer(model).score(texts)))
+    assert len(found) == len(texts) and any(x[0] == "und" for x in found)
+    for text, (name, p, accepted) in zip(texts, found):
+        rows = [r for w in text.lower().split() for r in _plain_subwords(w, model.settings)]
+        if not any(c.isalpha() for c in text):
+            assert (name, p, accepted) == ("und", 0.0, False)
+            continue
+        z = (model.scores[rows].mean(axis=0) + model.bias) / model.temperature
+        plain = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert name == model.languages[plain.argmax()] and p == pytest.approx(plain.max(), abs=1e-9)
+        assert accepted == (p >= model.least)
+
+
+def test_language_hashes_new_words_together():
+    words = [f"w{i:x}ord{i * 7919 % 10_007}" for i in range(5_000)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, len(words), 50)]
+    scorer, calls = language.Scorer(_language_model()), 0
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event in ("call", "c_call")
+
+    sys.setprofile(count)
+    try:
+        scorer.score(texts)
+    finally:
+        sys.setprofile(None)
+    # a call for every n-gram of every word would be some 40 calls a word
+    assert calls < 8 * len(words)
+
+
 @pytest.fixture(scope="module")
 def toxic_rows(table_of):
     docs, labels = table_of("documents", "sf0.1"), table_of("labels", "sf0.1")
