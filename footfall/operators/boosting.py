@@ -13,9 +13,10 @@ weighs 0. Every pass over the table serves all experiments:
 A margin per row and experiment is carried: written every few rounds, with the trees since then added on the fly. The losses
 of a round come with the next one's first pass, so patience ends an experiment at the exact round. No tree is fitted twice.
 
-A table of up to four parts of ``PART_ROWS`` rows is dealt by experiment instead, and a task runs all rounds of its own: it holds a byte
-per row and feature, sums up the smaller child of a split, and has the sums of the larger one by subtraction. Both ways give the same trees,
-as all sums are whole numbers.
+Of a table of up to four parts of ``PART_ROWS`` rows a task per experiment reads the rows it weighs and runs all rounds of its own: it sums up
+the smaller child of a split, and has the sums of the larger one by subtraction. Its rows lie in unlinked files of the task's temp folder, a byte
+per row and feature and 40 bytes a row besides, and are worked on in pieces, so its memory doesn't grow with them. Both ways give the same
+trees, as all sums are whole numbers.
 
 The driver holds cuts, trees and losses: bounded by the settings, whatever the rows.
 """
@@ -23,8 +24,12 @@ The driver holds cuts, trees and losses: bounded by the settings, whatever the r
 from __future__ import annotations
 
 import json
+import mmap
+import os
+import tempfile
 from collections import namedtuple
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -36,10 +41,14 @@ from footfall.session import materialise
 
 #: Sums are whole numbers of this unit.
 UNIT = float(1 << 24)
-#: Rows of a partition of the binned table. Tables of more than ``WHOLE_PARTS`` of them take a pass per step of growth.
-PART_ROWS = 500_000
+#: Tables of more than ``WHOLE_PARTS`` parts of so many rows take a pass per step of growth.
+PART_ROWS = 8_000_000
 #: Parts of a table whose experiments each fit in a task.
 WHOLE_PARTS = 4
+#: Rows of a partition of a table that takes passes.
+DEALT_ROWS = 500_000
+#: Rows that a task works on at once: their sums of curvatures and weights fit side by side in a double.
+PIECE = 1 << 14
 _TRAIN_LOSS, _VAL_LOSS = -1, -2
 
 
@@ -342,36 +351,126 @@ def grow(experiments: list[int], config: Growth, one_pass: Callable) -> tuple[di
     return {e: sprout.finished() for e, sprout in sprouts.items()}, losses
 
 
-class _Rows:
-    """The rows of one experiment's train set, and while a tree grows those of its nodes with their sums by feature and bin."""
-
-    def __init__(self, bins: np.ndarray, config: Growth):
-        self.columns, self.config = np.ascontiguousarray(bins.T), config
-
-    def start(self, parts: list[np.ndarray]) -> None:
-        """A new tree; ``parts`` are gradients, curvatures and weights."""
-        self.parts = parts
-        self.rows = {0: np.arange(self.columns.shape[1])}
-        self.sums = {0: self._summed(self.rows[0])}
-
-    def _summed(self, rows: np.ndarray) -> np.ndarray:
-        every = len(rows) == self.columns.shape[1]
-        parts = self.parts if every else [p[rows] for p in self.parts]
-        out = np.empty((3, len(self.columns), 256))
-        for f, column in enumerate(self.columns):
-            at = (column if every else column[rows]).astype(np.intp)
-            for k, part in enumerate(parts):
-                out[k, f] = np.bincount(at, part, 256)
+def _kept(shape: tuple[int, ...] | int, kind) -> np.ndarray:
+    """An array of zeros in an unlinked file of the task's temp folder, whose pages can leave memory."""
+    size = max(int(np.prod(shape)) * np.dtype(kind).itemsize, 1)
+    with tempfile.TemporaryFile() as file:
+        os.posix_fallocate(file.fileno(), 0, size)
+        return np.frombuffer(mmap.mmap(file.fileno(), size), kind, int(np.prod(shape))).reshape(shape)
+
+
+def _pieces(start: int, stop: int) -> Iterator[slice]:
+    for at in range(start, stop, PIECE):
+        yield slice(at, min(at + PIECE, stop))
+
+
+class _Held:
+    """Rows with label, weight and margin, and a column of bins per feature; ``order`` has those of a node of a tree together."""
+
+    def __init__(self, width: int, rows: int, margin: float):
+        self.columns = _kept((width, rows), np.uint8)
+        self.label, self.weight, self.margin = _kept(rows, np.float32), _kept(rows, np.int32), _kept(rows, float)
+        self.order, self.spare = _kept(rows, np.int32), _kept(rows, np.int32)
+        self.margin[:] = margin
+        self.filled = 0
+
+    def fill(self, bins: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
+        to = slice(self.filled, self.filled + len(bins))
+        self.columns[:, to], self.label[to], self.weight[to] = bins.T, label, weight
+        self.filled = to.stop
+
+    def gather(self) -> None:
+        """All rows are the root's."""
+        for piece in _pieces(0, len(self.order)):
+            self.order[piece] = np.arange(piece.start, piece.stop)
+
+    def part(self, start: int, stop: int, feature: int, cut: int) -> int:
+        """Puts the rows of these places that go left before the others; where the others begin."""
+        column, to, apart = self.columns[feature], start, 0
+        for piece in _pieces(start, stop):
+            rows = self.order[piece].astype(np.intp)
+            low = column.take(rows) <= cut
+            left, right = rows[low], rows[~low]
+            self.order[to : to + len(left)], self.spare[apart : apart + len(right)] = left, right
+            to, apart = to + len(left), apart + len(right)
+        self.order[to:stop] = self.spare[:apart]
+        return to
+
+    def lift(self, start: int, stop: int, value: float) -> None:
+        for piece in _pieces(start, stop):
+            self.margin[self.order[piece]] += value
+
+    def add(self, tree: Tree) -> None:
+        """Adds the tree to the margins."""
+        self.gather()
+        todo = [(0, 0, len(self.order))]
+        while todo:
+            node, start, stop = todo.pop()
+            if tree.feature[node] < 0:
+                self.lift(start, stop, tree.value[node])
+            elif start < stop:
+                middle = self.part(start, stop, tree.feature[node], tree.bin[node])
+                todo += [(tree.left[node], start, middle), (tree.right[node], middle, stop)]
+
+    def loss(self) -> float:
+        total = n = 0
+        for piece in _pieces(0, len(self.order)):
+            margin, weight = self.margin[piece], self.weight[piece]
+            total += int((np.rint(UNIT * (np.logaddexp(0, margin) - self.label[piece] * margin)) * weight).sum())
+            n += int(weight.sum(dtype=np.int64))
+        return total / UNIT / n if n else float("nan")
+
+
+class _Rows(_Held):
+    """The rows of one experiment's train set, and while a tree grows the places of its nodes' rows and their sums by feature and bin."""
+
+    def __init__(self, width: int, rows: int, margin: float, config: Growth):
+        super().__init__(width, rows, margin)
+        self.config, self.g, self.h = config, _kept(rows, np.int32), _kept(rows, np.int32)
+
+    def start(self) -> None:
+        """A new tree."""
+        for piece in _pieces(0, len(self.order)):
+            p = _sigmoid(self.margin[piece])
+            self.g[piece], self.h[piece] = np.rint(UNIT * (p - self.label[piece])), np.rint(UNIT * p * (1 - p))
+        self.gather()
+        self.places = {0: (0, len(self.order))}
+        self.sums = {0: self._summed(0, len(self.order), True)}
+
+    def _summed(self, start: int, stop: int, every: bool = False) -> np.ndarray:
+        """Gradients, curvatures and weights by feature and bin. ``every``: row and place are the same."""
+        out = np.zeros((3, len(self.columns), 256))
+        own = np.empty(out.shape)
+        for piece in _pieces(start, stop):
+            rows = piece if every else self.order[piece].astype(np.intp)
+            n = self.weight[rows].astype(float)
+            g, h = self.g[rows] * n, self.h[rows] * n
+            most = [int(x.sum()).bit_length() for x in (h, n)]
+            # curvatures and weights are summed as one number, as long as it is whole
+            unit = float(1 << most[0]) if sum(most) <= 53 else 0.0
+            parts = [g, h + n * unit] if unit else [g, h, n]
+            for f, column in enumerate(self.columns):
+                at = (column[rows] if every else column.take(rows)).astype(np.intp)
+                for k, part in enumerate(parts):
+                    own[k, f] = np.bincount(at, part, 256)
+            if unit:
+                np.floor_divide(own[1], unit, out=own[2])
+                own[1] -= own[2] * unit
+            out += own
         return out
 
+    def _place(self, tree: Tree, node: int) -> None:
+        start, stop = self.places[node]
+        middle = self.part(start, stop, tree.feature[node], tree.bin[node])
+        self.places |= {tree.left[node]: (start, middle), tree.right[node]: (middle, stop)}
+
     def _part(self, tree: Tree, node: int) -> None:
-        rows = self.rows[node]
-        low = self.columns[tree.feature[node]][rows] <= tree.bin[node]
-        sides = sorted(((tree.left[node], rows[low]), (tree.right[node], rows[~low])), key=lambda side: len(side[1]))
-        self.rows.update(sides)
-        (small, own), (large, _) = sides
-        self.sums[small] = self._summed(own)
-        self.sums[large] = self.sums[node] - self.sums[small]
+        self._place(tree, node)
+        small, large = sorted((tree.left[node], tree.right[node]), key=lambda child: self.places[child][1] - self.places[child][0])
+        self.sums[small] = self._summed(*self.places[small])
+        # the node's own are not asked for again
+        self.sums[large] = self.sums.pop(node)
+        self.sums[large] -= self.sums[small]
 
     def _top(self, experiment: int, node: int) -> Cut:
         """As :func:`best_cuts`: the highest gain, the lower feature and bin on ties, at bins that hold rows."""
@@ -387,50 +486,55 @@ class _Rows:
     def cuts(self, growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> dict[tuple[int, int], Cut]:
         found = {}
         for e, (tree, nodes) in growing.items():
+            self.tree = tree
             above = {child: node for node, f in enumerate(tree.feature) if f >= 0 for child in (tree.left[node], tree.right[node])}
             for node in nodes:
-                if node not in self.rows:
+                if node not in self.places:
                     self._part(tree, above[node])
                 found[e, node] = self._top(e, node)
         return found
 
+    def add(self, tree: Tree) -> None:
+        """Adds the tree that was grown last: the rows of most of its leaves are together already."""
+        todo = [(0, 0)]
+        while todo:
+            grown, node = todo.pop()
+            if tree.feature[node] < 0:
+                self.lift(*self.places[grown], tree.value[node])
+            else:
+                if self.tree.left[grown] not in self.places:
+                    self._place(self.tree, grown)
+                todo += [(self.tree.left[grown], tree.left[node]), (self.tree.right[grown], tree.right[node])]
+
 
 _FITTED = "experiment int, trees string, train_losses string, val_losses string, best int"
 
 
-def _whole(start: list[float], width: int, config: Growth):
-    """All rounds of the experiment whose rows the task has."""
+def _whole(experiment: int, start: float, rows: tuple[int, int], width: int, config: Growth):
+    """All rounds of the experiment whose rows the task reads: so many of train and of validation."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if len(b)]
-        if not held:
-            return
-        experiment = held[0].column("experiment")[0].as_py()
-        bins = np.concatenate([_matrix(b.column("bins"), width) for b in held])
-        label, weight = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in held]).astype(float) for c in ("label", "weight"))
-        val = np.concatenate([b.column("val").to_numpy(zero_copy_only=False) for b in held]).astype(bool)
-        del held
-        sets = [(bins[val == part], label[val == part], weight[val == part]) for part in (False, True)]
-        del bins
-        margins = [np.full(len(y), start[experiment]) for _, y, _ in sets]
-        (_, y, w), rows = sets[0], _Rows(sets[0][0], config)
+        train, held = sets = _Rows(width, rows[0], start, config), _Held(width, rows[1], start)
+        for batch in batches:
+            bins = _matrix(batch.column("bins"), width)
+            label, weight, val = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "weight", "val"))
+            for own, use in zip(sets, (~val.astype(bool), val.astype(bool))):
+                own.fill(bins[use], label[use], weight[use])
         trees: list[Tree] = []
         losses: list[list[float]] = [[], []]
         best, over = 0, False
         for done in range(config.rounds + 1):
-            for kept, margin, (_, label, weight) in zip(losses, margins, sets) if done else ():
-                total, n = (np.rint(UNIT * (np.logaddexp(0, margin) - label * margin)) * weight).sum(), weight.sum()
-                kept.append(int(total) / UNIT / int(n) if n else float("nan"))
             if done:
+                for kept, own in zip(losses, sets):
+                    kept.append(own.loss())
                 best, over = _stopped(losses[1], config.patience)
             if over or done == config.rounds:
                 break
-            p = _sigmoid(margins[0])
-            rows.start([np.rint(UNIT * (p - y)) * w, np.rint(UNIT * p * (1 - p)) * w, w])
-            tree = grow([experiment], config, rows.cuts)[0][experiment]
+            train.start()
+            tree = grow([experiment], config, train.cuts)[0][experiment]
             trees.append(tree)
-            for margin, (bins, _, _) in zip(margins, sets):
-                margin += np.array(tree.value)[tree.walk(bins)]
+            for own in sets:
+                own.add(tree)
         texts = [json.dumps(x) for x in ([t.__dict__ for t in trees], *losses)]
         columns = [pa.array([experiment], pa.int32()), *[pa.array([t]) for t in texts], pa.array([best], pa.int32())]
         yield pa.RecordBatch.from_arrays(columns, names=["experiment", "trees", "train_losses", "val_losses", "best"])
@@ -438,17 +542,21 @@ def _whole(start: list[float], width: int, config: Growth):
     return run
 
 
-def _fit_whole(table: DataFrame, active: list[int], config: Growth, out: Fit) -> None:
-    """Fits each active experiment in a task that has all rows it weighs."""
-    rows = table.select("label", "val", "bins", F.posexplode("weights").alias("experiment", "weight")).where(
-        F.col("experiment").isin(active) & (F.col("weight") > 0)
-    )
-    dealt = rows.repartitionById(len(out.start), F.col("experiment"))
+def _fit_whole(table: DataFrame, active: dict[int, int], held: int, config: Growth, out: Fit) -> None:
+    """Fits each active experiment in a task that reads all rows it weighs: so many of train, and ``held`` of validation."""
+
+    def one(experiment: int):
+        rows = table.select("label", "val", "bins", F.col("weights")[experiment].alias("weight")).where(F.col("weight") > 0)
+        work = _whole(experiment, out.start[experiment], (active[experiment], held), len(out.features), config)
+        return rows.coalesce(1).mapInArrow(work, _FITTED).first()
+
     out.passes += 1
-    for r in dealt.mapInArrow(_whole(out.start, len(out.features), config), _FITTED).collect():
-        out.trees[r.experiment] = [Tree(**t) for t in json.loads(r.trees)]
-        out.train_losses[r.experiment], out.val_losses[r.experiment] = json.loads(r.train_losses), json.loads(r.val_losses)
-        out.best[r.experiment] = r.best
+    # the longest first
+    with ThreadPoolExecutor(len(active)) as pool:
+        for r in pool.map(one, sorted(active, key=lambda e: -active[e])):
+            out.trees[r.experiment] = [Tree(**t) for t in json.loads(r.trees)]
+            out.train_losses[r.experiment], out.val_losses[r.experiment] = json.loads(r.train_losses), json.loads(r.val_losses)
+            out.best[r.experiment] = r.best
 
 
 def _stopped(losses: list[float], patience: int | None) -> tuple[int, bool]:
@@ -469,21 +577,24 @@ def fit(train: DataFrame, val: DataFrame, features: list[str], experiments: int,
         val.select(label, ones, F.lit(True).alias("val"), *wanted)
     )
     table = materialise(binned(both, features, cuts, ["label", "weights", "val"]), "binned")
-    parts = -(-table.count() // PART_ROWS)
+    rows = table.count()
     known = table.where(~F.col("val"))
-    sides = known.agg(*[
-        F.struct(F.sum(F.col("weights")[e] * F.col("label")).alias("p"), F.sum(F.col("weights")[e]).alias("n")).alias(f"e{e}")
+    *sides, trained = known.agg(*[
+        F.struct(
+            F.sum(F.col("weights")[e] * F.col("label")).alias("p"), F.sum(F.col("weights")[e]).alias("n"),
+            F.count_if(F.col("weights")[e] > 0).alias("rows"),
+        ).alias(f"e{e}")
         for e in range(experiments)
-    ]).first()
+    ], F.count(F.lit(1)).alias("trained")).first()
     odds = [(s.p or 0, s.n or 0) for s in sides]
     start = [float(np.log(p / (n - p))) if 0 < p < n else 0.0 for p, n in odds]
     out = Fit(features, cuts, start, [[] for _ in odds], [[] for _ in odds], [[] for _ in odds], [0] * experiments)
     active = [e for e, (p, n) in enumerate(odds) if 0 < p < n]
-    if parts <= WHOLE_PARTS:
+    if rows <= WHOLE_PARTS * PART_ROWS:
         if active:
-            _fit_whole(table, active, config, out)
+            _fit_whole(table, {e: sides[e].rows for e in active}, rows - trained, config, out)
         return out
-    table = materialise(table.repartition(parts), "dealt")
+    table = materialise(table.repartition(-(-rows // min(PART_ROWS, DEALT_ROWS))), "dealt")
     pending: dict[int, list[Tree]] = {}
 
     def work(growing: dict[int, tuple[Tree, list[int]]], losses: bool) -> _Pass:

@@ -143,3 +143,34 @@ def test_a_small_table_is_fitted_in_one_pass(spark, data, monkeypatch):
     many = boosting.fit(train, val, NAMES, 3, config, cuts)
     assert [[t.__dict__ for t in trees] for trees in one.trees] == [[t.__dict__ for t in trees] for trees in many.trees]
     assert (one.train_losses, one.val_losses, one.best) == (many.train_losses, many.val_losses, many.best)
+
+
+def test_a_table_of_millions_of_rows_is_fitted_in_one_pass(spark):
+    n = 2_050_000
+    rows = spark.range(n).select(
+        ((F.col("id") * 7919) % 1000 / 10).alias("a"), (F.col("id") % 10).cast("double").alias("b"),
+        (F.col("id") % 10 + F.col("id") * 31 % 7 > 9).cast("int").alias("label"), F.array(F.lit(1)).alias("weights"),
+    )
+    cuts = [[float(i) for i in range(0, 100, 10)], [float(i) for i in range(10)]]
+    fit = boosting.fit(rows, rows.limit(1000), ["a", "b"], 1, Growth(leaves=4, rounds=2, patience=None), cuts)
+    assert fit.passes == 1 and [len(t) for t in fit.trees] == [2]
+    assert fit.train_losses[0][1] < fit.train_losses[0][0]
+
+
+@pytest.mark.parametrize("heavy", [1, 1 << 24])
+def test_sums_of_a_node_are_exact_whatever_the_weights(heavy):
+    n, draw = 3 * boosting.PIECE + 5, np.random.default_rng(1)
+    rows = boosting._Rows(2, n, 0.5, Growth())
+    bins, label = draw.integers(0, 256, (n, 2)).astype(np.uint8), draw.integers(0, 2, n)
+    weight = draw.integers(1, 3, n) * heavy
+    rows.fill(bins, label, weight)
+    rows.start()
+    middle = rows.part(0, n, 0, 100)
+    left = np.flatnonzero(bins[:, 0] <= 100)
+    assert middle == len(left) and set(rows.order[:middle].tolist()) == set(left.tolist())
+    found = rows._summed(0, middle)
+    for f in range(2):
+        for b in (0, 50, 100):
+            own = [i for i in left if bins[i, f] == b]
+            for k, value in enumerate((rows.g, rows.h, np.ones(n, int))):
+                assert int(found[k, f, b]) == sum(int(value[i]) * int(weight[i]) for i in own)
