@@ -7,6 +7,7 @@ import hashlib
 import io
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 from itertools import permutations
 
@@ -332,3 +333,23 @@ def test_blocks_come_from_small_arrow_batches(spark, monkeypatch):
         assert rows.count() == 200 and rows.agg(F.sum("words")).first()[0] == 200 * 100
     finally:
         spark.conf.unset(BATCH_KEY) if named is None else spark.conf.set(BATCH_KEY, named)
+
+
+def test_a_block_is_the_same_in_pieces_and_takes_less_memory(monkeypatch):
+    draw = random.Random(5)
+    texts = [" ".join(f"w{draw.randrange(3000)}" for _ in range(draw.randrange(400))) for _ in range(1500)] + ["", "x", " "]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+    def made(size):
+        monkeypatch.setattr(filters, "PIECE", size)
+        tracemalloc.start()
+        first, code, n, words = filters._counted(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return (first.tolist(), code.tolist(), n.tolist(), words.to_pylist()), peak
+
+    (whole, most), (pieces, least) = made(1 << 30), made(50_000)
+    assert pieces == whole and least < most / 2
+    for r, text in ((0, texts[0]), (1500, ""), (1501, "x"), (1502, " ")):
+        own = slice(whole[0][r], whole[0][r + 1])
+        assert {whole[3][c].decode(): n for c, n in zip(whole[1][own], whole[2][own])} == Counter(text.split())
