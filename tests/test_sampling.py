@@ -242,3 +242,16 @@ def test_running_totals(spark):
 def test_dense_codes(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "s string")
     assert {r.s: r.code for r in ranking.dense_codes(df, "s").collect()} == {"a": 0, "b": 1, "c": 2}
+
+
+def test_ranks_of_many_strata_do_not_go_through_the_driver(spark):
+    rows = spark.range(3000).select("id", (F.col("id") % 40).alias("part"))
+    ranked = ranking.seeded_rank(rows, 7, ["id"], "place", ["part"])
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "ShuffledHashJoin" in plan
+    # the rows are dealt once, for the join and for their numbers; the buckets' sizes before and after their totals
+    assert len([line for line in plan.split("\n") if "Exchange hashpartitioning(part" in line and "_bucket" in line]) == 3
+    places = {}
+    for r in ranked.collect():
+        places.setdefault(r.part, []).append(r.place)
+    assert len(places) == 40 and all(sorted(p) == list(range(1, 76)) for p in places.values())
