@@ -551,8 +551,8 @@ def _fit_whole(table: DataFrame, active: dict[int, int], held: int, config: Grow
         return rows.coalesce(1).mapInArrow(work, _FITTED).first()
 
     out.passes += 1
-    # the longest first
-    with ThreadPoolExecutor(len(active)) as pool:
+    # the longest first: more threads than cores would submit them in any order
+    with ThreadPoolExecutor(min(len(active), table.sparkSession.sparkContext.defaultParallelism)) as pool:
         for r in pool.map(one, sorted(active, key=lambda e: -active[e])):
             out.trees[r.experiment] = [Tree(**t) for t in json.loads(r.trees)]
             out.train_losses[r.experiment], out.val_losses[r.experiment] = json.loads(r.train_losses), json.loads(r.val_losses)
